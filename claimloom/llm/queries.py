@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from claimloom.llm import packing, sharding, simhash, token_counts, token_output
+from claimloom.llm import language_id, packing, sharding, simhash, token_counts, token_output
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_token_ids": token_output.op4_token_ids,
     "op8_packing": packing.op8_packing,
+    "op9_language_id": language_id.op9_language_id,
     "op10_sharding": sharding.op10_sharding,
 }
 

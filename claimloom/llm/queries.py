@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from claimloom.llm import language_id, packing, progressive_jpeg, sharding, simhash, token_counts, token_output
+from claimloom.llm import decontamination, language_id, packing, progressive_jpeg, sharding, simhash, token_counts, token_output
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_token_ids": token_output.op4_token_ids,
+    "op5_decontamination": decontamination.op5_decontamination,
     "op7_progressive_jpeg": progressive_jpeg.op7_progressive_jpeg,
     "op8_packing": packing.op8_packing,
     "op9_language_id": language_id.op9_language_id,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -41,6 +42,8 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: lineage is cut, and a lost executor costs no more than its tasks."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()  # lets Spark's cleaner drop the shuffle files that nothing reads any more
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

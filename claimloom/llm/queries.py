@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from claimloom.llm import decontamination, language_id, packing, progressive_jpeg, sharding, simhash, token_counts, token_output
+from claimloom.llm import decontamination, language_id, line_dedup, packing, progressive_jpeg, sharding, simhash, token_counts, token_output
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_line_dedup": line_dedup.op2_line_dedup,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_token_ids": token_output.op4_token_ids,
     "op5_decontamination": decontamination.op5_decontamination,

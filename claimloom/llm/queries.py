@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from claimloom.llm import decontamination, language_id, line_dedup, packing, progressive_jpeg, sharding, simhash, token_counts, token_output
+from claimloom.llm import decontamination, language_id, line_dedup, packing, progressive_jpeg, sharding, simhash, token_counts, token_output, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -10,10 +10,11 @@ QUERIES = {
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_token_ids": token_output.op4_token_ids,
     "op5_decontamination": decontamination.op5_decontamination,
+    "op6_warc_revisits": warc.op6_warc_revisits,
     "op7_progressive_jpeg": progressive_jpeg.op7_progressive_jpeg,
     "op8_packing": packing.op8_packing,
     "op9_language_id": language_id.op9_language_id,
     "op10_sharding": sharding.op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_warc_revisits": warc.ORACLE}

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from claimloom.plans import claim_queries, text_queries
+
+QUERIES: dict = {**claim_queries.QUERIES, **text_queries.QUERIES}
+ORACLE_SQL: dict[str, str] = {**claim_queries.ORACLE_SQL, **text_queries.ORACLE_SQL}

@@ -128,9 +128,9 @@ def dispositions(claims: DataFrame, actors_: DataFrame, events_: DataFrame, coun
         .unionByName(counts.select("claim_id", F.lit("participation_counts").alias("canonical_table"), F.col("participation_count_id").alias("canonical_id")))
         .unionByName(relations_.select("claim_id", F.lit("actor_relations").alias("canonical_table"), F.col("relation_id").alias("canonical_id")))
     )
-    firsts = actors_.where("ordinal = 0").select("deal_slug", F.col("claim_id").alias("first_claim"), F.col("actor_id").alias("first_actor"))
+    firsts = actors_.where("ordinal = 0").select(F.col("deal_slug").alias("first_slug"), F.col("claim_id").alias("first_claim"), F.col("actor_id").alias("first_actor"))
     rows = with_actor(claims.withColumn("typed", usable(claims)), "actor_label", actors_, "actor_id").join(made, "claim_id", "left")
-    rows = rows.join(firsts, (rows["deal_slug"] == firsts["deal_slug"]) & (rows["claim_id"] == firsts["first_claim"]) & (rows["actor_id"] == firsts["first_actor"]), "left").drop(firsts["deal_slug"])
+    rows = rows.join(firsts, (c("deal_slug") == c("first_slug")) & (c("claim_id") == c("first_claim")) & (c("actor_id") == c("first_actor")), "left")
     known = kind.isin("actor", "event", "bid", "participation_count", "actor_relation")
     generic = (kind == "bid") & X.is_generic_label(c("bidder_label"))
     what = F.when(~known, "out_of_scope").when(~c("typed"), "rejected").when(generic, "rejected").when((kind == "actor") & c("first_claim").isNull(), "merged_duplicate").otherwise("canonicalized")

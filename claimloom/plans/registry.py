@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from claimloom.plans import claim_queries, text_queries
+from claimloom.plans import claim_queries, page_queries, text_queries
 
-QUERIES: dict = {**claim_queries.QUERIES, **text_queries.QUERIES}
-ORACLE_SQL: dict[str, str] = {**claim_queries.ORACLE_SQL, **text_queries.ORACLE_SQL}
+QUERIES: dict = {**claim_queries.QUERIES, **text_queries.QUERIES, **page_queries.QUERIES}
+ORACLE_SQL: dict[str, str] = {**claim_queries.ORACLE_SQL, **text_queries.ORACLE_SQL, **page_queries.ORACLE_SQL}

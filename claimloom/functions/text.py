@@ -52,7 +52,7 @@ def page_number(text: Column) -> Column:
 
 def heading_text(text: Column) -> Column:
     """The first line that isn't blank, without layout commands and emphasis, folded."""
-    first = F.coalesce(F.element_at(F.filter(F.split(text, "\n"), lambda x: stripped(x) != ""), 1), F.lit(""))
+    first = F.coalesce(F.try_element_at(F.filter(F.split(text, "\n"), lambda x: stripped(x) != ""), F.lit(1)), F.lit(""))
     plain = F.regexp_replace(first, r'COMMAND=STYLE_ADDED,"[^"]*"(?U)\s*', " ")
     plain = F.regexp_replace(plain, r"COMMAND=[^\s*]+", " ")
     plain = F.regexp_replace(plain, r"[*_`#]", " ")

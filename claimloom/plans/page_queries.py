@@ -105,7 +105,7 @@ ORACLE_SQL = {
       UNION ALL SELECT event_id, 'event', 'On May 9, 2014, the board met', '2014-05-09', 73, 102 FROM e WHERE k = 2
       UNION ALL SELECT event_id, 'actor', 'Party A', 'Party A', 0, 7 FROM e WHERE k = 3
       UNION ALL SELECT event_id, 'actor', 'Northern Capital Partners', 'Northern Capital Partners', 16, 41 FROM e WHERE k = 3
-      UNION ALL SELECT event_id, 'actor', 'B&C', 'B&C', 63, 66 FROM e WHERE k = 3""",
+      UNION ALL SELECT event_id, 'actor', 'B&C', 'B&C', 64, 67 FROM e WHERE k = 3""",
     "joined_pages": "SELECT CAST(conv_id AS VARCHAR) AS deal_slug, sha256(string_agg(chr(10) || '<!-- PAGE ' || turn || ' -->' || chr(10) || coalesce(text, ''), '' ORDER BY turn)) AS text_hash FROM conversations GROUP BY conv_id",
     "title_names": "WITH t AS (SELECT s_suppkey, s_name, upper(replace(replace(s_name, '#', ' & '), '0', 'o')) AS n FROM supplier) SELECT s_suppkey, array_to_string(list_transform(string_split(n, ' '), lambda w: CASE WHEN regexp_matches(w, '[&.]') THEN w ELSE upper(w[1]) || lower(w[2:]) END), ' ') AS title, CAST(greatest(1, length(s_name) // 4) AS INTEGER) AS tokens FROM t",
 }

@@ -69,13 +69,14 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     agree = F.when(F.col("etag").isNotNull(), F.col("etag").eqNullSafe(F.col("base.etag"))).when(F.col("last_modified").isNotNull(), F.col("last_modified").eqNullSafe(F.col("base.modified")))
     outcome = F.when(F.col("full"), "response").when(F.col("base").isNull(), "no_base").when(agree.isNull(), "unchecked").when(agree, "resolved").otherwise("mismatch")
     decided = found.select("record_id", "url_key", "full", outcome.alias("outcome"), F.col("base.id").alias("base_id"))
+    # Rows without a usable base stay out of the join by base, where their null keys would all meet in one task.
     usable = F.col("outcome").isin("resolved", "unchecked")
-    revisits = decided.where("not full").withColumn("use_id", F.when(usable, F.col("base_id")))
-    own = records.where(~full).select("record_id", F.col("headers").alias("own_headers"))
-    own = own.dropDuplicates(["record_id"])
-    bases = records.where(full).select(F.col("record_id").alias("use_id"), F.col("headers").alias("base_headers"), "body").dropDuplicates(["use_id"])
-    joined = revisits.join(own, "record_id", "left").join(bases, "use_id", "left")
-    done = joined.select("record_id", "url_key", "outcome", "base_id", F.when(usable, merged_headers(F.col("base_headers"), F.col("own_headers"))).otherwise(F.col("own_headers")).alias("headers"), F.when(usable, F.col("body")).alias("body"))
+    own = records.where(~full).select("record_id", F.col("headers").alias("own_headers")).dropDuplicates(["record_id"])
+    revisits = decided.where("not full").join(own, "record_id", "left")
+    bases = records.where(full).select(F.col("record_id").alias("base_id"), F.col("headers").alias("base_headers"), "body").dropDuplicates(["base_id"])
+    joined = revisits.where(usable).join(bases, "base_id").select("record_id", "url_key", "outcome", "base_id", merged_headers(F.col("base_headers"), F.col("own_headers")).alias("headers"), "body")
+    rest = revisits.where(~usable).select("record_id", "url_key", "outcome", "base_id", F.col("own_headers").alias("headers"), F.lit(None).cast(dict(records.dtypes)["body"]).alias("body"))
+    done = joined.unionByName(rest)
     responses = records.where(full).select("record_id", canonical_url(F.col("url")).alias("url_key"), F.lit("response").alias("outcome"), F.lit(None).cast(dict(records.dtypes)["record_id"]).alias("base_id"), "headers", "body")
     return responses.unionByName(done)
 

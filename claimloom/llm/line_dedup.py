@@ -51,23 +51,41 @@ def places(length: int, edits: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def signatures(lines: Iterator[str], edits: int) -> Iterator[tuple[int, int, int, bool]]:
-    """(signature, line, length, own): XXH64 of each probed substring, seeded by length and segment."""
+def line_ids(lines: list[str]) -> np.ndarray:
+    """The lines' names: XXH64 but for its lowest bit, which is free for a mark."""
+    import xxhash
+
+    return np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in lines], "u8").view("i8") & ~1
+
+
+def signatures(lines: list[str], edits: int, known: dict[int, tuple[list, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(signatures, lines): XXH64 of each probed substring, seeded by length and segment; a line's lowest bit marks its own segments.
+
+    `known` keeps the probes of each length from call to call.
+    """
     import xxhash
 
-    known: dict[int, tuple[list, set]] = {}
     digest = xxhash.xxh64_intdigest
+    sigs: list[int] = []
+    counts, marks = [], []
     for line in lines:
         n = len(line)
         if n not in known:
             if len(known) > 20_000:
                 known.clear()
-            known[n] = places(n, edits), {(n, i, *s) for i, s in enumerate(segments(n, edits))}
-        ident = digest(line.encode(), 42)
-        own = known[n][1]
-        for place in known[n][0]:
-            length, i, start, size = place
-            yield digest(line[start : start + size].encode(), length * 16 + i), ident, n, place in own
+            own = {(n, i, *s) for i, s in enumerate(segments(n, edits))}
+            probes = places(n, edits)
+            known[n] = [(start, start + size, length * 16 + i) for length, i, start, size in probes], np.array([p in own for p in probes])
+        probes, own_marks = known[n]
+        raw = line.encode()
+        if len(raw) == n:  # one byte a character
+            sigs += [digest(raw[a:b], seed) for a, b, seed in probes]
+        else:
+            sigs += [digest(line[a:b].encode(), seed) for a, b, seed in probes]
+        counts.append(len(probes))
+        marks.append(own_marks)
+    own = np.concatenate(marks) if marks else np.zeros(0, bool)
+    return np.array(sigs, "u8").view("i8"), np.repeat(line_ids(lines), counts) | own
 
 
 def within(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, a: np.ndarray, b: np.ndarray, edits: int) -> np.ndarray:
@@ -192,19 +210,21 @@ def _compared(text: str | None, least: int) -> list[tuple[int, str]]:
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (sig, line, own first) those whose signature two or more lines have, one of them its own segment; repeated rows once."""
+    """Of rows sorted by (sig, line) those whose signature two or more lines have, one of them its own segment; repeated rows once."""
     held: list[np.ndarray] | None = None
 
-    def out(sig, line, length, own):
-        first = np.concatenate([[True], (sig[1:] != sig[:-1]) | (line[1:] != line[:-1])])
-        sig, line, length, own = sig[first], line[first], length[first], own[first]
+    def out(sig, line):
+        name = line & ~1
+        first = np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (name[1:] != name[:-1])]))
+        own = np.maximum.reduceat(line & 1, first)
+        sig, name = sig[first], name[first]
         starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         sizes = np.diff(np.concatenate([starts, [len(sig)]]))
-        keep = np.repeat((sizes > 1) & (np.add.reduceat(own.astype("i8"), starts) > 0), sizes)
-        return pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (sig, line, length, own)], names=["sig", "line", "length", "own"])
+        keep = np.repeat((sizes > 1) & (np.add.reduceat(own, starts) > 0), sizes)
+        return pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(name[keep]), pa.array(own[keep] > 0)], names=["sig", "line", "own"])
 
     for batch in batches:
-        cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("sig", "line", "length", "own")]
+        cols = [batch.column(c).to_numpy() for c in ("sig", "line")]
         held = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
         whole = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last signature may go on
         if whole:
@@ -229,29 +249,26 @@ def line_links(docs: DataFrame, text_col: str = "text", edits: int = EDITS, leas
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        known: dict = {}
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
-                rows = list(signatures(fresh(seen, batch.column(0)[i : i + 256].to_pylist()), edits))
-                if rows:
-                    sig, line, length, own = zip(*rows)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.array(sig, "u8").view("i8")), pa.array(np.array(line, "u8").view("i8")), pa.array(length, pa.int32()), pa.array(own)], names=["sig", "line", "length", "own"])
+                sig, line = signatures(list(fresh(seen, batch.column(0)[i : i + 256].to_pylist())), edits, known)
+                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(line)], names=["sig", "line"])
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         seen: set[int] = set()
         for batch in batches:
             for i in range(0, batch.num_rows, 256):
                 lines = list(fresh(seen, batch.column(0)[i : i + 256].to_pylist()))
-                ids = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in lines], "u8").view("i8")
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(lines, pa.string())], names=["line", "text"])
+                yield pa.RecordBatch.from_arrays([pa.array(line_ids(lines)), pa.array(lines, pa.string())], names=["line", "text"])
 
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    rows = texts.mapInArrow(sign, "sig long, line long, length int, own boolean")
-    met = kept(rows.repartition("sig").sortWithinPartitions("sig", "line", F.desc("own")).mapInArrow(_met, "sig long, line long, length int, own boolean"), "met")
+    rows = texts.mapInArrow(sign, "sig long, line long")
+    met = kept(rows.repartition("sig").sortWithinPartitions("sig", "line").mapInArrow(_met, "sig long, line long, own boolean"), "met")
     wanted = met.select("line").distinct()
     spelled = kept(texts.mapInArrow(spell, "line long, text string").join(wanted, "line", "left_semi").dropDuplicates(["line"]), "spelled")
-    sizes = met.groupBy("sig").agg(F.count("*").alias("n"), F.max("length").alias("longest"))
+    sized = met.join(spelled.select("line", F.length("text").alias("length")), "line")
+    sizes = sized.groupBy("sig").agg(F.count("*").alias("n"), F.max("length").alias("longest"))
     cut = F.greatest(F.ceil(F.col("n") / tile_rows), F.ceil(F.col("n") * F.col("longest") / tile_chars)).cast("int")
     tiled = met.join(sizes, "sig").withColumn("cut", F.least(cut, F.col("n").cast("int"))).withColumn("tile", F.pmod(F.xxhash64("line", F.lit(1)), F.col("cut")).cast("int"))
     paired = tiled.select("sig", "line", "own", "tile", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("other"))
@@ -268,8 +285,6 @@ def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     group = components(line_links(docs, text_col, edits, least, **how))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 ids, numbers, lines = [], [], []
@@ -277,8 +292,8 @@ def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     for k, x in _compared(t, least):
                         ids.append(d)
                         numbers.append(k)
-                        lines.append(xxhash.xxh64_intdigest(x.encode(), 42))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(np.array(lines, "u8").view("i8"))], names=["doc_id", "line_no", "line"])
+                        lines.append(x)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(line_ids(lines))], names=["doc_id", "line_no", "line"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
     lines = rows.mapInArrow(split, "doc_id long, line_no int, line long")

@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages over documents, each written as Parquet and read by the next.
 
 Documents without a known language go; repeated lines go, and documents that are copies by their lines; of near
-copies by fingerprint one stays; documents that hold benchmark items go; the rest is packed. All but the last stage
+copies by shingles one stays; documents that hold benchmark items go; the rest is packed. All but the last stage
 return the columns of documents.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimloom.llm import decontamination, language_id, line_dedup, packing, simhash
+from claimloom.llm import decontamination, language_id, line_dedup, near_copies as copies, packing
 from claimloom.llm.common import kept, table
 
 
@@ -24,8 +24,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component of fingerprints within two bits."""
-    return simhash.keep_first(docs)
+    """Keeps one row of each group of documents linked by a similarity of 0.8 or more of their five-word shingles."""
+    return copies.keep_one(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

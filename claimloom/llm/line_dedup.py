@@ -204,9 +204,13 @@ def _verified(edits: int, chunk: int = 1 << 15):
     return run
 
 
-def _compared(text: str | None, least: int) -> list[tuple[int, str]]:
-    """(number, line) of the lines of a text that are long enough to be compared."""
-    return [(i, x) for i, x in enumerate((text or "").split("\n")) if len(x) >= least]
+def _takes_part(line: str, least: int, short: bool) -> bool:
+    return len(line) >= least or short and bool(line.strip())
+
+
+def _compared(text: str | None, least: int, short: bool = False) -> list[tuple[int, str]]:
+    """(number, line) of the lines of a text that are long enough to be compared; with `short` of all that aren't blank, too."""
+    return [(i, x) for i, x in enumerate((text or "").split("\n")) if _takes_part(x, least, short)]
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,10 +281,11 @@ def line_links(docs: DataFrame, text_col: str = "text", edits: int = EDITS, leas
     return full.repartition("grp").sortWithinPartitions("grp", "line").mapInArrow(_verified(edits), "a long, b long").distinct()
 
 
-def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least: int = LEAST_CHARS, **how) -> DataFrame:
+def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least: int = LEAST_CHARS, short: bool = False, **how) -> DataFrame:
     """(doc_id, line_no, class_id) of each compared line that repeats an earlier one: equal, or within `edits` edits of it or of a line linked to it.
 
-    Earlier means a smaller (doc_id, line number); class_id is the smallest line hash of the class.
+    Earlier means a smaller (doc_id, line number); class_id is the smallest line hash of the class. Lines under
+    `least` characters are compared only with `short`, and repeat only equal ones.
     """
     group = components(line_links(docs, text_col, edits, least, **how))
 
@@ -289,7 +294,7 @@ def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for i in range(0, batch.num_rows, 512):
                 ids, numbers, lines = [], [], []
                 for d, t in zip(batch.column(0)[i : i + 512].to_pylist(), batch.column(1)[i : i + 512].to_pylist()):
-                    for k, x in _compared(t, least):
+                    for k, x in _compared(t, least, short):
                         ids.append(d)
                         numbers.append(k)
                         lines.append(x)
@@ -303,16 +308,17 @@ def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return classed.join(first, "class_id").where(F.struct("doc_id", "line_no") != F.col("first")).select("doc_id", "line_no", "class_id")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least: int = LEAST_CHARS, **how) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least: int = LEAST_CHARS, short: bool = False, **how) -> DataFrame:
     """docs with repeated lines taken out of the text, and n_lines, n_dropped, chars_compared and chars_dropped.
 
-    Lines are what newlines part. Lines under `least` characters are not compared and stay. Of each class of equal
+    Lines are what newlines part. Lines under `least` characters are not compared and stay; with `short` those that
+    aren't blank are compared for equality, and only short blank lines stay. Of each class of equal
     or near-equal lines the first stays, by document id and line number, also within one document. Null texts stay
     null, with counts of zero. Rows without an id keep their text and nothing is compared with them. Rows of one
     id are one document each with the same line numbers: they lose the same lines. Other columns pass through;
     columns named like an output are replaced. An empty table gives an empty one.
     """
-    drops = mark_lines(docs, id_col, text_col, edits, least, **how).groupBy("doc_id").agg(F.collect_set("line_no").alias("drop_lines__"))
+    drops = mark_lines(docs, id_col, text_col, edits, least, short, **how).groupBy("doc_id").agg(F.collect_set("line_no").alias("drop_lines__"))
     joined = docs.join(drops.withColumnRenamed("doc_id", "drop_id__"), F.col(id_col).cast("long") == F.col("drop_id__"), "left").drop("drop_id__")
     types = dict(docs.dtypes)[text_col]
 
@@ -321,9 +327,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             out: list[list] = [[] for _ in range(5)]
             for t, d in zip(texts, dropped):
                 lines = t.split("\n") if t is not None else []
-                gone = {k for k in d or () if k < len(lines) and len(lines[k]) >= least}
+                gone = {k for k in d or () if k < len(lines) and _takes_part(lines[k], least, short)}
                 left = [x for k, x in enumerate(lines) if k not in gone]
-                row = ("\n".join(left) if t is not None else None, len(lines), len(gone), sum(len(x) for x in lines if len(x) >= least), sum(len(lines[k]) for k in gone))
+                row = ("\n".join(left) if t is not None else None, len(lines), len(gone), sum(len(x) for x in lines if _takes_part(x, least, short)), sum(len(lines[k]) for k in gone))
                 for o, v in zip(out, row):
                     o.append(v)
             return out
@@ -336,19 +342,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return done.select(*(c for c in order if c not in extra), *extra)
 
 
-def keep_fresh(docs: DataFrame, share: float = 0.8, **how) -> DataFrame:
+def keep_fresh(docs: DataFrame, share: float = 0.8, short: bool = True, **how) -> DataFrame:
     """docs with repeated lines taken out, without the documents that are copies by their lines; columns as they are.
 
     A document goes if lines with `share` or more of its compared characters repeat earlier ones. n_chars, if
     there, follows the text.
     """
-    done = dedup_lines(docs, **how).where((F.col("chars_dropped") == 0) | (F.col("chars_dropped") < share * F.col("chars_compared")))
+    done = dedup_lines(docs, short=short, **how).where((F.col("chars_dropped") == 0) | (F.col("chars_dropped") < share * F.col("chars_compared")))
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return done.select(*docs.columns)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of every document's lines: counts, and the digest of the text."""
-    done = dedup_lines(table(spark, sf_dir, "documents"))
+    """What is left of every document's lines, short ones included: counts, and the digest of the text."""
+    done = dedup_lines(table(spark, sf_dir, "documents"), short=True)
     return done.select("doc_id", "n_lines", "n_dropped", "chars_compared", "chars_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))

@@ -309,12 +309,12 @@ def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least: int = LEAST_CHARS, short: bool = False, **how) -> DataFrame:
-    """docs with repeated lines taken out of the text, and n_lines, n_dropped, chars_compared and chars_dropped.
+    """docs with repeated lines taken out of the text, and n_lines, n_dropped, chars_compared, chars_dropped and share_dropped.
 
     Lines are what newlines part. Lines under `least` characters are not compared and stay; with `short` those that
     aren't blank are compared for equality, and only short blank lines stay. Of each class of equal
-    or near-equal lines the first stays, by document id and line number, also within one document. Null texts stay
-    null, with counts of zero. Rows without an id keep their text and nothing is compared with them. Rows of one
+    or near-equal lines the first stays, by document id and line number, also within one document. share_dropped is
+    that of the characters of all lines that aren't blank, compared or not. Null texts stay null, with counts of zero. Rows without an id keep their text and nothing is compared with them. Rows of one
     id are one document each with the same line numbers: they lose the same lines. Other columns pass through;
     columns named like an output are replaced. An empty table gives an empty one.
     """
@@ -324,12 +324,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def start():
         def made(texts, dropped):
-            out: list[list] = [[] for _ in range(5)]
+            out: list[list] = [[] for _ in range(6)]
             for t, d in zip(texts, dropped):
                 lines = t.split("\n") if t is not None else []
                 gone = {k for k in d or () if k < len(lines) and _takes_part(lines[k], least, short)}
                 left = [x for k, x in enumerate(lines) if k not in gone]
-                row = ("\n".join(left) if t is not None else None, len(lines), len(gone), sum(len(x) for x in lines if _takes_part(x, least, short)), sum(len(lines[k]) for k in gone))
+                full, lost = (sum(len(x) for x in some if x.strip()) for some in (lines, [lines[k] for k in gone]))
+                row = ("\n".join(left) if t is not None else None, len(lines), len(gone), sum(len(x) for x in lines if _takes_part(x, least, short)), sum(len(lines[k]) for k in gone), lost / full if full else 0.0)
                 for o, v in zip(out, row):
                     o.append(v)
             return out
@@ -337,18 +338,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return made
 
     order = [c for c in docs.columns]
-    done = add_columns(joined, [text_col, "drop_lines__"], f"{text_col} {types}, n_lines int, n_dropped int, chars_compared long, chars_dropped long", start)
-    extra = ["n_lines", "n_dropped", "chars_compared", "chars_dropped"]
+    done = add_columns(joined, [text_col, "drop_lines__"], f"{text_col} {types}, n_lines int, n_dropped int, chars_compared long, chars_dropped long, share_dropped double", start)
+    extra = ["n_lines", "n_dropped", "chars_compared", "chars_dropped", "share_dropped"]
     return done.select(*(c for c in order if c not in extra), *extra)
 
 
 def keep_fresh(docs: DataFrame, share: float = 0.8, short: bool = True, **how) -> DataFrame:
     """docs with repeated lines taken out, without the documents that are copies by their lines; columns as they are.
 
-    A document goes if lines with `share` or more of its compared characters repeat earlier ones. n_chars, if
+    A document goes if lines with `share` or more of the characters of its lines that aren't blank repeat earlier
+    ones. n_chars, if
     there, follows the text.
     """
-    done = dedup_lines(docs, short=short, **how).where((F.col("chars_dropped") == 0) | (F.col("chars_dropped") < share * F.col("chars_compared")))
+    done = dedup_lines(docs, short=short, **how).where((F.col("n_dropped") == 0) | (F.col("share_dropped") < share))
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return done.select(*docs.columns)

@@ -19,7 +19,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes out lines within two edits of an earlier one, and documents of which such lines are 80 % or more."""
+    """Takes out lines within two edits of an earlier one, and documents of which such lines hold 80 % or more of the characters."""
     return line_dedup.keep_fresh(docs)
 
 

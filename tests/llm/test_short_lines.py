@@ -24,3 +24,11 @@ def test_short_repeats_go(spark, table):
     assert [got[d]["n_dropped"] for d in (1, 2, 3)] == [1, 1, 1]
     staged = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, spark.read.parquet(f"{table}/documents.parquet"), table).collect()}
     assert staged[1] == want[1] and staged[2] == want[2]
+
+
+def test_fresh_short_lines_weigh(spark, table):
+    docs = spark.read.parquet(f"{table}/documents.parquet")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.lines(spark, docs, table).collect()) == [1, 2, 3]
+    assert sorted(r["doc_id"] for r in L.keep_fresh(docs, short=False).collect()) == [1, 2, 3]
+    copy = docs.where("doc_id = 1").selectExpr("4L as doc_id", "concat('x y', chr(10), text) as text")
+    assert sorted(r["doc_id"] for r in L.keep_fresh(docs.unionByName(copy)).collect()) == [1, 2, 3]

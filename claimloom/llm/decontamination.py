@@ -67,7 +67,7 @@ class Group:
 class Benchmark:
     """Some items of the benchmark, ready to search documents."""
 
-    def __init__(self, items: list[tuple[int, str]], width: int = WIDTH, radius: int = RADIUS, similarity: float = SIMILARITY):
+    def __init__(self, items: list[tuple[int | None, str]], width: int = WIDTH, radius: int = RADIUS, similarity: float = SIMILARITY):
         self.similarity = similarity
         by: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = {}
         for ident, text in items:
@@ -84,7 +84,7 @@ class Benchmark:
                 for x in h.tolist():
                     self.sizes.setdefault((k, x), set()).add(size)
 
-    def search(self, text: str | None, block_words: int = 1 << 18) -> list[tuple[int, float, int, int]]:
+    def search(self, text: str | None, block_words: int = 1 << 18) -> list[tuple[int | None, float, int, int]]:
         """(item, similarity, first word, words) of the best window of each item found in a whole text."""
         all_words, best = words(text), {}
         for k, known in self.shingles.items():
@@ -104,7 +104,7 @@ class Benchmark:
                         wanted.setdefault(size, []).append(a)
                 for size, anchored in wanted.items():
                     self._windows(self.groups[k, size], h, np.array(anchored), at, k, best)
-        return sorted((i, s, start, n) for i, (s, start, n) in best.items())
+        return sorted(((i, s, start, n) for i, (s, start, n) in best.items()), key=lambda m: (m[0] is None, m[0] or 0))
 
     def _windows(self, group: Group, h: np.ndarray, anchors: np.ndarray, at: int, k: int, best: dict) -> None:
         size = min(group.size, len(h))
@@ -126,10 +126,10 @@ class Benchmark:
                     best[ident] = (score, start + at, size + k - 1)
 
 
-def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
+def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int | None, str]]]:
     """The query set in blocks of bounded size, one at a time on the driver; null texts are left out."""
     held, size = [], 0
-    for r in benchmark.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long"), text_col).toLocalIterator():
+    for r in benchmark.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long"), text_col).toLocalIterator():
         held.append((r[0], r[1]))
         size += len(r[1])
         if size >= block_bytes:
@@ -148,7 +148,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     An item is found if a window of its size (the whole text, if that is shorter) has a fingerprint within the
     radius and a weighted similarity of 0.8 or more over shingles of five words. Items of fewer words are one
     shingle and must be there word for word. Null and empty texts, and items without words, give nothing. Items
-    of one id count as one. Of equal windows the first is reported. No row of docs moves or is lost; other columns
+    of one id count as one, and so do items of a null id: they are searched too and reported with a null item_id. Of equal windows the first is reported. No row of docs moves or is lost; other columns
     pass through, one named leaks is replaced. Benchmarks above block_bytes are searched in as many passes.
     """
     found = docs.withColumn("leaks", F.array().cast(MATCH))

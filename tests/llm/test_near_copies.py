@@ -51,3 +51,12 @@ def test_stage_takes_copies_apart_by_many_bits(spark):
         near[i] = "other"
     docs = spark.createDataFrame([(4, " ".join(near)), (1, " ".join(words)), (9, "some thing else that stands alone here")], SCHEMA)
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_copies(spark, docs, "").collect()) == [1, 9]
+
+
+def test_rows_of_one_id_or_none(spark):
+    """Exact copies with a repeated or null id: one row of each group stays, whole."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(5, a, "x"), (5, a, "x"), (None, a, "x"), (None, b, "x"), (None, b, "x"), (None, b, "y"), (6, c, "x"), (6, a, "x"), (7, c, "x"), (None, None, "x"), (8, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = corpus_pipeline.near_copies(spark, docs, "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(5, a), (0, b), (6, c), (8, "")])

@@ -58,11 +58,11 @@ def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
 
-def add_columns(df: DataFrame, inputs: list[str], outputs: str, function: Callable[..., Iterator[list]], batch_rows: int = 0) -> DataFrame:
+def add_columns(df: DataFrame, inputs: list[str], outputs: str, function: Callable[..., Iterator[list]], arrow_in: bool = False) -> DataFrame:
     """df with the columns of the DDL string `outputs`, made batch by batch in Arrow; no row moves.
 
     `function()` is called once in each task and returns a callable from lists of the inputs' values to lists of
-    the outputs' values. Columns of df that clash with an output's name are replaced.
+    the outputs' values; with arrow_in it gets Arrow arrays. Columns of df that clash with an output's name are replaced.
     """
     new = T.StructType.fromDDL(outputs)
     names = {f.name.lower() for f in new}
@@ -74,7 +74,7 @@ def add_columns(df: DataFrame, inputs: list[str], outputs: str, function: Callab
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = function()
         for batch in batches:
-            columns = made(*(batch.column(c).to_pylist() for c in inputs))
+            columns = made(*(batch.column(c) if arrow_in else batch.column(c).to_pylist() for c in inputs))
             arrays = [pa.array(v, f.type) for v, f in zip(columns, arrow)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in passed), *arrays], names=[*passed, *(f.name for f in arrow)])
 

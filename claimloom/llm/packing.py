@@ -1,10 +1,10 @@
 """Packing token sequences by Karmarkar-Karp multiway differencing.
 
-Documents are packed where they lie: each task takes its partition's documents in order, in blocks of bounded
-size, so nothing is shuffled and a task run again gives the same windows. Whole windows are cut off long
-documents first. What remains is cut into parts of at most `part_tokens` and dealt by differencing: partial
-partitions with opposing imbalances merge, largest spread first, until one partition into near-equal windows is
-left. If its fullest window is over capacity, the block is partitioned again with one more window.
+Documents are packed where they lie: each task takes its partition's documents in order, in blocks of a fixed number
+of tokens (a longer document goes on in the next block), so nothing is shuffled and a task run again gives the same windows. Documents are cut into parts of at most
+`part_tokens`, and all parts are dealt by differencing: partial partitions with opposing imbalances merge, largest
+spread first, until one partition into near-equal windows is left. If its fullest window is over capacity, the block
+is partitioned again with one more window.
 """
 
 from __future__ import annotations
@@ -76,15 +76,8 @@ def differencing(sizes: list[int], windows: int) -> list[list[int]]:
 
 def pack_block(lengths: list[int], capacity: int, part_tokens: int) -> list[tuple[list[tuple[int, int, int]], int]]:
     """Windows of one block: each a list of (document, start, length) in order, and its sum of at most `capacity`."""
-    windows, parts = [], []
-    for d, n in enumerate(lengths):
-        at = 0
-        while n - at >= capacity:
-            windows.append(([(d, at, capacity)], capacity))
-            at += capacity
-        while at < n:
-            parts.append((d, at, min(part_tokens, n - at)))
-            at += parts[-1][2]
+    windows: list[tuple[list[tuple[int, int, int]], int]] = []
+    parts = [(d, at, min(part_tokens, n - at)) for d, n in enumerate(lengths) for at in range(0, n, part_tokens)]
     if not parts:
         return windows
     sizes = [p[2] for p in parts]
@@ -105,48 +98,52 @@ def pack_block(lengths: list[int], capacity: int, part_tokens: int) -> list[tupl
     return windows
 
 
-def pack(df: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = END_ID, part_tokens: int = 512, block_tokens: int = 1 << 18, batch_bytes: int = 1 << 20) -> DataFrame:
+def pack(df: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", capacity: int = 2048, end_id: int = END_ID, part_tokens: int = 512, block_tokens: int = 128 * 2048 - 1024, batch_bytes: int = 4 << 20) -> DataFrame:
     """One row for each piece of a packed window, with its ids as little-endian unsigned 32-bit integers.
 
     doc_id, start (its document's ids before it), length, doc_tokens (with the end id), sequence_id, offset
     (gapless from 0 in its window), padded (the window's length after padding: itself at a power of two, else
     capacity), ids. Null texts are empty and still give the end id. Null document ids stay null. Repeated
     rows are packed each. Other columns are left out. An empty table gives no windows. sequence_id holds the
-    partition in its upper bits: unique, not gapless. A worker holds block_tokens and one batch at most, besides
-    the longest text.
+    partition in its upper bits: unique, not gapless. A worker holds block_tokens and batch_bytes at most, besides
+    the longest text. Clashing names make no difference: only the two columns named are read.
     """
     path = path or vocabulary("word_bpe_49k.json")
-    end = int(end_id).to_bytes(4, "little")
+    end = np.array([end_id], "<u4")
 
     schema = to_arrow_schema(T.StructType.fromDDL(PIECES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         enc, sequence = encoder(path), TaskContext.get().partitionId() << 40
-        held: list[tuple[int | None, bytes]] = []
+        held: list[tuple[int | None, int, int, np.ndarray]] = []  # a document, its ids before this stretch, all its ids, the stretch
         tokens = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal sequence, held, tokens
             rows = []
-            for pieces, total in pack_block([len(raw) // 4 for _, raw in held], capacity, part_tokens):
+            for pieces, total in pack_block([len(x[3]) for x in held], capacity, part_tokens):
                 offset, padded = 0, total if total & (total - 1) == 0 else capacity
                 for d, at, n in pieces:
-                    doc, raw = held[d]
-                    rows.append((doc, at, n, len(raw) // 4, sequence, offset, padded, raw[4 * at : 4 * (at + n)]))
+                    doc, before, whole, ids = held[d]
+                    rows.append((doc, before + at, n, whole, sequence, offset, padded, ids[at : at + n].tobytes()))
                     offset += n
                 sequence += 1
             held, tokens = [], 0
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         for batch in batches:
-            docs, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            docs, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             for part in byte_balanced(texts, batch_bytes):
-                for doc, raw in zip(docs[part], enc.encode_batch(texts[part], batch_bytes)):
-                    held.append((doc, raw + end))
-                    tokens += len(raw) // 4 + 1
-                    if tokens >= block_tokens:
-                        yield flush()
+                ids, at = enc.encode(texts[part])
+                for doc, a, b in zip(docs[part], at[:-1].tolist(), at[1:].tolist()):
+                    own, done = np.concatenate([ids[a:b].astype("<u4"), end]), 0
+                    while done < len(own):  # a document that doesn't fit goes on in the next block
+                        some = own[done : done + block_tokens - tokens]
+                        held.append((doc, done, len(own), some))
+                        done, tokens = done + len(some), tokens + len(some)
+                        if tokens >= block_tokens:
+                            yield flush()
         if held:
             yield flush()
 

@@ -23,31 +23,28 @@ END_ID = 2
 ORC = {"orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01", "orc.create.index": "true", "orc.row.index.stride": "2000", "orc.stripe.size": str(16 << 20), "compression": "zstd"}
 
 
-def write_token_ids(df: DataFrame, out: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, batch_bytes: int = 1 << 20) -> None:
+def write_token_ids(df: DataFrame, out: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, batch_bytes: int = 4 << 20) -> None:
     """Writes an ORC table (doc_id, range, before, n_tokens, ids) at `out`, in ascending document id over its files.
 
     Null texts are empty and still get end_id. Null ids come first; rows of one id are ordered by text, so
-    repeated rows are interchangeable and all are written. Other columns are left out. An empty table gives an
+    repeated rows are interchangeable and all are written. Other columns are left out, whatever their names; ids and
+    texts are cast to long and string. An empty table gives an
     empty one. No row is longer than its text's ids; a range is sorted by Spark and may spill.
     """
     path = path or vocabulary("byte_bpe_50k.json")
-    end = int(end_id).to_bytes(4, "little")
+    end = int(end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, before = encoder(path), 0
         for batch in batches:
-            texts, ids, numbers = batch.column("text").to_pylist(), batch.column("doc_id"), batch.column("range")
+            texts, docs, numbers = batch.column("text"), batch.column("doc_id"), batch.column("range")
             for part in byte_balanced(texts, batch_bytes):
-                raw = [x + end for x in enc.encode_batch(texts[part], batch_bytes)]
-                n = np.array([len(x) // 4 for x in raw], "i8")
+                ids, at = enc.encode(texts[part])
+                n = np.diff(at) + 1
                 offsets = np.concatenate([[0], np.cumsum(n)])
-                values = pa.array(np.frombuffer(b"".join(raw), "<i4"))
-                lists = pa.ListArray.from_arrays(pa.array(offsets.astype("i4")), values)
-                rows = slice(part.start, part.stop)
-                yield pa.RecordBatch.from_arrays(
-                    [ids[rows.start : rows.stop], numbers[rows.start : rows.stop], pa.array(before + offsets[:-1]), pa.array(n), lists],
-                    names=["doc_id", "range", "before", "n_tokens", "ids"],
-                )
+                values = np.insert(ids.astype("i4"), at[1:], end)
+                lists = pa.ListArray.from_arrays(pa.array(offsets.astype("i4")), pa.array(values))
+                yield pa.RecordBatch.from_arrays([docs[part], numbers[part], pa.array(before + offsets[:-1]), pa.array(n), lists], names=["doc_id", "range", "before", "n_tokens", "ids"])
                 before += int(offsets[-1])
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -54,6 +54,16 @@ def drop_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
+    """df.mapInArrow in batches of at most 4 MB, so that long rows don't fill a worker; a limit that the session set itself stays."""
+    if df.sparkSession.conf.get(BATCH) == "67108864b":
+        df.sparkSession.conf.set(BATCH, "4m")
+    return df.mapInArrow(function, schema)
+
+
 def nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])
 
@@ -80,4 +90,4 @@ def add_columns(df: DataFrame, inputs: list[str], outputs: str, function: Callab
 
     if len({c.lower() for c in df.columns}) < len(df.columns):
         raise ValueError("column names clash; give each column its own name first")
-    return df.mapInArrow(run, nullable(schema))
+    return map_arrow(df, run, nullable(schema))

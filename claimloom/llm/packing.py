@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from claimloom.llm.common import table
+from claimloom.llm.common import map_arrow, table
 from claimloom.llm.pieces import byte_balanced, encoder, vocabulary
 
 END_ID = 1
@@ -148,7 +148,7 @@ def pack(df: DataFrame, path: str | None = None, id_col: str = "doc_id", text_co
             yield flush()
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, PIECES)
+    return rows.transform(map_arrow, run, PIECES)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import new_path, table
+from claimloom.llm.common import map_arrow, new_path, table
 from claimloom.llm.pieces import byte_balanced, encoder, vocabulary
 
 END_ID = 2
@@ -49,7 +49,7 @@ def write_token_ids(df: DataFrame, out: str, path: str | None = None, id_col: st
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     dealt = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    coded = dealt.withColumn("range", F.spark_partition_id()).mapInArrow(encode, "doc_id long, range int, before long, n_tokens long, ids array<int>")
+    coded = dealt.withColumn("range", F.spark_partition_id()).transform(map_arrow, encode, "doc_id long, range int, before long, n_tokens long, ids array<int>")
     coded.write.options(**ORC).orc(out)
 
 
@@ -75,7 +75,7 @@ def ids_digest(df: DataFrame) -> DataFrame:
             crc = [zlib.crc32(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), pa.array(np.diff(offsets) // 4), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return df.mapInArrow(digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return df.transform(map_arrow, digest, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

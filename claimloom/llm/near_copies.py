@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import add_columns, kept
+from claimloom.llm.common import add_columns, kept, map_arrow
 from claimloom.llm.simhash import bit_counts, close_pairs, components, shingle_hashes, word_blocks
 
 WIDTH, SIMILARITY, RADIUS, KEYS = 5, 0.8, 26, 16
@@ -58,22 +58,7 @@ def _candidates(radius: int, similarity: float):
     """Pairs (a, b) among rows (grp, node, fp, n) that arrive sorted by grp, within the radius and of sizes that allow the similarity."""
 
     def pairs(groups: np.ndarray, nodes: np.ndarray, fps: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        bounds = np.concatenate([[0], np.flatnonzero(np.diff(groups)) + 1, [len(groups)]])
-        sizes = np.diff(bounds)
-        small = np.repeat(sizes <= 48, sizes)
-        left, right = [np.zeros(0, "i8")], [np.zeros(0, "i8")]
-        for d in range(1, min(48, len(groups))):  # groups of few rows, all at once
-            i = np.flatnonzero((groups[:-d] == groups[d:]) & small[:-d])
-            if not len(i):
-                break
-            i = i[np.bitwise_count(fps[i] ^ fps[i + d]) <= radius]
-            left.append(i)
-            right.append(i + d)
-        for at in np.flatnonzero(sizes > 48).tolist():
-            x, y = close_pairs(fps[bounds[at] : bounds[at + 1]], radius)
-            left.append(x + bounds[at])
-            right.append(y + bounds[at])
-        x, y = np.concatenate(left), np.concatenate(right)
+        x, y = close_pairs(groups, fps, radius)
         keep = np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-9
         x, y = nodes[x[keep]], nodes[y[keep]]
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
@@ -118,7 +103,7 @@ def similar_sets(rows: DataFrame, sketches: DataFrame, width: int, similarity: f
     tiled = keyed.join(sizes, "key").withColumn("cut", cut).withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), F.col("cut")).cast("int"))
     paired = tiled.select("key", "node", "fp", "n", "tile", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("other"))
     grouped = paired.select(F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")).alias("grp"), "node", "fp", "n")
-    pairs = grouped.repartition("grp").sortWithinPartitions("grp").mapInArrow(_candidates(radius, similarity), "a long, b long")
+    pairs = grouped.repartition("grp").sortWithinPartitions("grp").transform(map_arrow, _candidates(radius, similarity), "a long, b long")
     pairs = kept(pairs.where("a <> b").distinct(), "candidates")
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = distinct.join(named, "node", "left_semi").select("hash")
@@ -132,7 +117,7 @@ def similar_sets(rows: DataFrame, sketches: DataFrame, width: int, similarity: f
 
     sets = kept(add_columns(rows.join(wanted, "hash", "left_semi").dropDuplicates(["hash"]).select("text"), ["text"], "node long, hashes binary", start).select("node", "hashes").dropDuplicates(["node"]), "hashes")
     sides = [sets.select(F.col("node").alias(s), F.col("hashes").alias(f"set_{s}")) for s in "ab"]
-    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "set_a", "set_b").mapInArrow(_similar(similarity), "a long, b long")
+    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "set_a", "set_b").transform(map_arrow, _similar(similarity), "a long, b long")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY, radius: int = RADIUS, tile_rows: int = 2048) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Each text gets a 64-bit fingerprint of its word shingles; equal fingerprints collapse first. Two fingerprints
 within `radius` bits agree on all but `radius` of radius + 2 bit blocks, so every pair of blocks they agree on is
-a bucket they share: comparing within buckets loses no link. Inside a bucket fingerprints are compared in numpy
-tiles by exclusive-or and bit counts, and tile pairs whose population counts differ beyond the radius are skipped.
+a bucket they share: comparing within buckets loses no link. Inside a bucket of any size fingerprints are compared in
+numpy tiles by exclusive-or and bit counts, and tile pairs whose population counts differ beyond the radius are skipped.
 A bucket over `tile_rows` is itself split into tiles by population count and hash, so no task holds more than two
 tiles of it. A tile pair gives a spanning forest of its links, never all pairs. Components come from alternating
 star contraction over tables in the shared folder.
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import add_columns, kept, table
+from claimloom.llm.common import add_columns, drop_path, kept, map_arrow, table
 
 BLANK = re.compile(rb"[\x20\x09-\x0d]")
 
@@ -82,22 +82,40 @@ def fingerprints(df: DataFrame, text_col: str = "text", width: int = 3) -> DataF
     return add_columns(df, [text_col], "fp long", start)
 
 
-def close_pairs(fps: np.ndarray, radius: int, tile: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of all pairs within `radius` bits, by tiles in the order of population counts."""
-    ones = np.bitwise_count(fps)
-    order = np.argsort(ones, kind="stable")
-    fps, ones = fps[order], ones[order].astype("i4")
-    left, right = [], []
-    for i in range(0, len(fps), tile):
-        a = fps[i : i + tile]
-        for j in range(i, len(fps), tile):
-            if ones[j] - ones[min(i + tile, len(fps)) - 1] > radius:  # all later tiles differ by more
-                break
-            x, y = np.nonzero(np.bitwise_count(a[:, None] ^ fps[None, j : j + tile]) <= radius)
-            x, y = x + i, y + j
-            keep = x < y
-            left.append(order[x[keep]])
-            right.append(order[y[keep]])
+def close_pairs(groups: np.ndarray, fps: np.ndarray, radius: int, tile: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of all pairs within `radius` bits in groups of rows that lie together.
+
+    Each group's rows are cut into tiles in the order of their population counts. Tiles are compared all with all by
+    exclusive-or and bit counts, many tile pairs in one step, but for pairs whose population counts differ by more
+    than the radius. Groups of over 64 rows are cut into tiles of 32 times the size.
+    """
+    ones = np.bitwise_count(fps).astype("i4")
+    order = np.lexsort((ones, groups))
+    groups, fps, ones = groups[order], fps[order], ones[order]
+    bounds = np.concatenate([[0], np.flatnonzero(np.diff(groups)) + 1, [len(groups)]])
+    left, right = [np.zeros(0, "i8")], [np.zeros(0, "i8")]
+    for wide, side in ((False, tile), (True, 32 * tile)):
+        mine = ((np.diff(bounds) > 64) == wide) & (np.diff(bounds) > 1)
+        starts, ends = bounds[:-1][mine], bounds[1:][mine]
+        n = -(-(ends - starts) // side)
+        of = np.repeat(np.arange(len(n)), n)  # each tile's group
+        low = starts[of] + side * (np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n))
+        high = np.minimum(low + side, ends[of])
+        at, step, grid = np.arange(len(of)), 0, np.arange(side)
+        while len(at):
+            at = at[at + step < len(of)]
+            at = at[(of[at] == of[at + step])]
+            at = at[ones[low[at + step]] - ones[high[at] - 1] <= radius]  # a tile too far away leaves, as all later ones are farther
+            for i in range(0, len(at), max(1, (1 << 20) // side**2)):
+                a, b = at[i : i + max(1, (1 << 20) // side**2)], at[i : i + max(1, (1 << 20) // side**2)] + step
+                x, y = low[a][:, None] + grid, low[b][:, None] + grid
+                near = np.bitwise_count(fps[np.minimum(x, len(fps) - 1)][:, :, None] ^ fps[np.minimum(y, len(fps) - 1)][:, None, :]) <= radius
+                k, p, q = np.nonzero(near)
+                x, y = x[k, p], y[k, q]
+                keep = (x < y) & (x < high[a][k]) & (y < high[b][k])
+                left.append(order[x[keep]])
+                right.append(order[y[keep]])
+            step += 1
     return np.concatenate(left), np.concatenate(right)
 
 
@@ -119,24 +137,7 @@ def _linked(radius: int):
 
     def links(groups: np.ndarray, fps: np.ndarray) -> pa.RecordBatch | None:
         nodes, at = np.unique(fps, return_inverse=True)
-        bounds = np.flatnonzero(np.diff(groups)) + 1
-        starts, ends = np.concatenate([[0], bounds]), np.concatenate([bounds, [len(groups)]])
-        left, right = [], []
-        small = np.repeat((ends - starts) <= 48, ends - starts)
-        for d in range(1, min(48, len(groups))):  # groups of few rows, all at once
-            i = np.flatnonzero((groups[:-d] == groups[d:]) & small[:-d])
-            if not len(i):
-                break
-            i = i[np.bitwise_count(fps[i] ^ fps[i + d]) <= radius]
-            left.append(i)
-            right.append(i + d)
-        for a, b in zip(starts[ends - starts > 48].tolist(), ends[ends - starts > 48].tolist()):
-            x, y = close_pairs(fps[a:b], radius)
-            left.append(x + a)
-            right.append(y + a)
-        if not left:
-            return None
-        x, y = at[np.concatenate(left)], at[np.concatenate(right)]
+        x, y = (at[side] for side in close_pairs(groups, fps, radius))
         root = forest(len(nodes), x, y)
         child = np.flatnonzero(root != np.arange(len(nodes)))
         return pa.RecordBatch.from_arrays([pa.array(nodes[child].view("i8")), pa.array(nodes[root[child]].view("i8"))], names=["a", "b"])
@@ -173,7 +174,7 @@ def links(distinct: DataFrame, radius: int = 2, tile_rows: int = 2048) -> DataFr
     paired = tiles.select("bucket", "fp", "own", F.explode(F.sequence(low, high)).alias("other"))
     many = paired.select(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("grp"), "fp")
     grouped = one.unionByName(many)
-    return grouped.repartition("grp").sortWithinPartitions("grp").mapInArrow(_linked(radius), "a long, b long").distinct()
+    return grouped.repartition("grp").sortWithinPartitions("grp").transform(map_arrow, _linked(radius), "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -181,6 +182,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large and small stars until a round changes nothing; each round is a table in the shared folder.
     """
+    spark = edges.sparkSession
     now = kept(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars")
     mark = lambda df: tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
     state = mark(now)
@@ -190,8 +192,10 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
-        now = kept(small, "stars")
-        if (after := mark(now)) == state:
+        old, now = now, kept(small, "stars")
+        after = mark(now)
+        drop_path(spark, old.inputFiles()[0].rsplit("/", 1)[0])
+        if after == state:
             break
         state = after
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -48,9 +48,14 @@ def test_close_pairs_skips_nothing():
     base = rng.integers(0, 1 << 63, 40, dtype="u8")
     fps = np.concatenate([base, base ^ np.uint64(1), base ^ np.uint64(5), rng.integers(0, 1 << 63, 900, dtype="u8")])
     fps = np.unique(fps)
-    x, y = S.close_pairs(fps, 2, tile=64)
+    x, y = S.close_pairs(np.zeros(len(fps), "i8"), fps, 2, tile=2)
     want = {(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps)) if int(fps[i] ^ fps[j]).bit_count() <= 2}
     assert {tuple(sorted(p)) for p in zip(x.tolist(), y.tolist())} == want and len(want) >= 100
+    groups = np.sort(rng.integers(0, 90, len(fps)))  # many small groups, and a large one
+    groups[:200] = 0
+    x, y = S.close_pairs(groups, fps, 20)
+    want = {(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps)) if groups[i] == groups[j] and int(fps[i] ^ fps[j]).bit_count() <= 20}
+    assert {tuple(sorted(p)) for p in zip(x.tolist(), y.tolist())} == want and len(want) == len(x)
 
 
 @pytest.mark.parametrize("tile_rows", [2048, 8])

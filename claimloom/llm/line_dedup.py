@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import add_columns, kept, table
+from claimloom.llm.common import add_columns, kept, map_arrow, table
 from claimloom.llm.simhash import components, forest
 
 EDITS, LEAST_CHARS = 2, 20
@@ -58,6 +58,13 @@ def line_ids(lines: list[str]) -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in lines], "u8").view("i8") & ~1
 
 
+def line_checks(lines: list[str]) -> np.ndarray:
+    """A second hash of each line, so that equal lines are told by 127 bits."""
+    import xxhash
+
+    return np.array([xxhash.xxh64_intdigest(x.encode(), 43) for x in lines], "u8").view("i8")
+
+
 def signatures(lines: list[str], edits: int, known: dict[int, tuple[list, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """(signatures, lines): XXH64 of each probed substring, seeded by length and segment; a line's lowest bit marks its own segments.
 
@@ -214,28 +221,30 @@ def _compared(text: str | None, least: int, short: bool = False) -> list[tuple[i
 
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (sig, line) those whose signature two or more lines have, one of them its own segment; repeated rows once."""
-    held: list[np.ndarray] | None = None
+    """Of rows sorted by (sig, line) those whose signature two or more lines have; repeated rows once.
 
-    def out(sig, line):
+    Rows are streamed: between batches only one row is kept, however many lines a signature has.
+    """
+    last: tuple[int, int, int] | None = None  # signature, line and mark of the row that is still open
+    met = False  # whether that row's signature has had another line
+
+    for batch in batches:
+        sig, line = (batch.column(c).to_numpy() for c in ("sig", "line"))
+        if not len(sig):
+            continue
+        if last is not None:
+            sig, line = np.append(last[0], sig), np.append(last[1] | last[2], line)
         name = line & ~1
         first = np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (name[1:] != name[:-1])]))
         own = np.maximum.reduceat(line & 1, first)
         sig, name = sig[first], name[first]
-        starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-        sizes = np.diff(np.concatenate([starts, [len(sig)]]))
-        keep = np.repeat((sizes > 1) & (np.add.reduceat(own, starts) > 0), sizes)
-        return pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(name[keep]), pa.array(own[keep] > 0)], names=["sig", "line", "own"])
-
-    for batch in batches:
-        cols = [batch.column(c).to_numpy() for c in ("sig", "line")]
-        held = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
-        whole = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last signature may go on
-        if whole:
-            yield out(*(x[:whole] for x in held))
-            held = [x[whole:] for x in held]
-    if held is not None and len(held[0]):
-        yield out(*held)
+        same = sig[1:] == sig[:-1]
+        keep = np.concatenate([[met], same]) | np.concatenate([same, [False]])
+        keep[-1] = False  # the last row stays open: more of it, or of its signature, may follow
+        last, met = (int(sig[-1]), int(name[-1]), int(own[-1])), bool(same[-1]) if len(same) else met
+        yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), pa.array(name[keep]), pa.array(own[keep] > 0)], names=["sig", "line", "own"])
+    if last is not None and met:
+        yield pa.RecordBatch.from_arrays([pa.array([last[0]], pa.int64()), pa.array([last[1]], pa.int64()), pa.array([last[2] > 0])], names=["sig", "line", "own"])
 
 
 def line_links(docs: DataFrame, text_col: str = "text", edits: int = EDITS, least: int = LEAST_CHARS, tile_rows: int = 1024, tile_chars: int = 2_000_000) -> DataFrame:
@@ -267,58 +276,64 @@ def line_links(docs: DataFrame, text_col: str = "text", edits: int = EDITS, leas
                 yield pa.RecordBatch.from_arrays([pa.array(line_ids(lines)), pa.array(lines, pa.string())], names=["line", "text"])
 
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    rows = texts.mapInArrow(sign, "sig long, line long")
-    met = kept(rows.repartition("sig").sortWithinPartitions("sig", "line").mapInArrow(_met, "sig long, line long, own boolean"), "met")
+    rows = texts.transform(map_arrow, sign, "sig long, line long")
+    met = kept(rows.repartition("sig").sortWithinPartitions("sig", "line").transform(map_arrow, _met, "sig long, line long, own boolean"), "met")
     wanted = met.select("line").distinct()
-    spelled = kept(texts.mapInArrow(spell, "line long, text string").join(wanted, "line", "left_semi").dropDuplicates(["line"]), "spelled")
+    spelled = kept(texts.transform(map_arrow, spell, "line long, text string").join(wanted, "line", "left_semi").dropDuplicates(["line"]), "spelled")
     sized = met.join(spelled.select("line", F.length("text").alias("length")), "line")
-    sizes = sized.groupBy("sig").agg(F.count("*").alias("n"), F.max("length").alias("longest"))
+    # A table, so that the join below has nothing but two exchanges under it and a heavy signature can be split.
+    sizes = kept(sized.groupBy("sig").agg(F.count("*").alias("n"), F.max("length").alias("longest"), F.max("own").alias("any")).where("n > 1 and any").drop("any"), "sizes")
     cut = F.greatest(F.ceil(F.col("n") / tile_rows), F.ceil(F.col("n") * F.col("longest") / tile_chars)).cast("int")
     tiled = met.join(sizes, "sig").withColumn("cut", F.least(cut, F.col("n").cast("int"))).withColumn("tile", F.pmod(F.xxhash64("line", F.lit(1)), F.col("cut")).cast("int"))
     paired = tiled.select("sig", "line", "own", "tile", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("other"))
     grouped = paired.select(F.xxhash64("sig", F.least("tile", "other"), F.greatest("tile", "other")).alias("grp"), "line", "own")
     full = grouped.join(spelled, "line")
-    return full.repartition("grp").sortWithinPartitions("grp", "line").mapInArrow(_verified(edits), "a long, b long").distinct()
+    return full.repartition("grp").sortWithinPartitions("grp", "line").transform(map_arrow, _verified(edits), "a long, b long").distinct()
 
 
 def mark_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least: int = LEAST_CHARS, short: bool = False, **how) -> DataFrame:
-    """(doc_id, line_no, class_id) of each compared line that repeats an earlier one: equal, or within `edits` edits of it or of a line linked to it.
+    """(doc_id, line_no, line, class_id) of each compared line that repeats an earlier one: equal, or within `edits` edits of it or of a line linked to it.
 
-    Earlier means a smaller (doc_id, line number); class_id is the smallest line hash of the class. Lines under
-    `least` characters are compared only with `short`, and repeat only equal ones.
+    Earlier means a smaller (doc_id, line number); class_id is the smallest line hash of the class, line the line's
+    own. Lines under `least` characters are compared only with `short`, and repeat only equal ones. Rows without an
+    id take no part: they neither repeat nor link others.
     """
+    docs = docs.where(F.col(id_col).cast("long").isNotNull())
     group = components(line_links(docs, text_col, edits, least, **how))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                ids, numbers, lines = [], [], []
-                for d, t in zip(batch.column(0)[i : i + 512].to_pylist(), batch.column(1)[i : i + 512].to_pylist()):
-                    for k, x in _compared(t, least, short):
-                        ids.append(d)
-                        numbers.append(k)
-                        lines.append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(line_ids(lines))], names=["doc_id", "line_no", "line"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
-    lines = rows.mapInArrow(split, "doc_id long, line_no int, line long")
-    classed = lines.join(group, lines["line"] == group["node"], "left").select("doc_id", "line_no", F.coalesce("root", "line").alias("class_id"))
+            ids, numbers, lines = [], [], []
+            for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for k, x in _compared(t, least, short):
+                    ids.append(d)
+                    numbers.append(k)
+                    lines.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(line_ids(lines)), pa.array(line_checks(lines))], names=["doc_id", "line_no", "line", "check"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    lines = rows.transform(map_arrow, split, "doc_id long, line_no int, line long, check long")
+    apart = F.when(F.col("root").isNull(), F.col("check")).otherwise(0)  # lines without a link are told apart by both hashes
+    classed = lines.join(group, lines["line"] == group["node"], "left").select("doc_id", "line_no", "line", F.coalesce("root", "line").alias("class_id"), apart.alias("check"))
     classed = kept(classed, "lines")
-    first = classed.groupBy("class_id").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return classed.join(first, "class_id").where(F.struct("doc_id", "line_no") != F.col("first")).select("doc_id", "line_no", "class_id")
+    # A table again: the join by class can then split a class that many lines have.
+    first = kept(classed.groupBy("class_id", "check").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "firsts")
+    return classed.join(first, ["class_id", "check"]).where(F.struct("doc_id", "line_no") != F.col("first")).select("doc_id", "line_no", "line", "class_id")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, least: int = LEAST_CHARS, short: bool = False, **how) -> DataFrame:
     """docs with repeated lines taken out of the text, and n_lines, n_dropped, chars_compared, chars_dropped and share_dropped.
 
     Lines are what newlines part. Lines under `least` characters are not compared and stay; with `short` those that
-    aren't blank are compared for equality, and only short blank lines stay. Of each class of equal
-    or near-equal lines the first stays, by document id and line number, also within one document. share_dropped is
-    that of the characters of all lines that aren't blank, compared or not. Null texts stay null, with counts of zero. Rows without an id keep their text and nothing is compared with them. Rows of one
-    id are one document each with the same line numbers: they lose the same lines. Other columns pass through;
-    columns named like an output are replaced. An empty table gives an empty one.
+    aren't blank are compared for equality, and only short blank lines stay. Of each class of equal or near-equal
+    lines the first stays, by document id and line number, also within one document. share_dropped is that of the
+    characters of all lines that aren't blank, compared or not. Null texts stay null, with counts of zero. Rows
+    without an id keep their text and nothing is compared with them. Rows of one id count as one document: of equal
+    lines at the same number all stay or go, and a line goes only where it stands itself. Other columns pass
+    through; columns named like an output are replaced, drop_lines__ and drop_id__ are reserved. An empty table
+    gives an empty one.
     """
-    drops = mark_lines(docs, id_col, text_col, edits, least, short, **how).groupBy("doc_id").agg(F.collect_set("line_no").alias("drop_lines__"))
+    drops = mark_lines(docs, id_col, text_col, edits, least, short, **how).groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "line")).alias("drop_lines__"))
     joined = docs.join(drops.withColumnRenamed("doc_id", "drop_id__"), F.col(id_col).cast("long") == F.col("drop_id__"), "left").drop("drop_id__")
     types = dict(docs.dtypes)[text_col]
 
@@ -327,7 +342,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             out: list[list] = [[] for _ in range(6)]
             for t, d in zip(texts, dropped):
                 lines = t.split("\n") if t is not None else []
-                gone = {k for k in d or () if k < len(lines) and _takes_part(lines[k], least, short)}
+                pairs = {(r["line_no"], r["line"]) for r in d or () if r["line_no"] < len(lines)}
+                here = list({k for k, _ in pairs})
+                gone = {k for k, x in zip(here, line_ids([lines[k] for k in here]).tolist()) if (k, x) in pairs}
                 left = [x for k, x in enumerate(lines) if k not in gone]
                 full, lost = (sum(len(x) for x in some if x.strip()) for some in (lines, [lines[k] for k in gone]))
                 row = ("\n".join(left) if t is not None else None, len(lines), len(gone), sum(len(x) for x in lines if _takes_part(x, least, short)), sum(len(lines[k]) for k in gone), lost / full if full else 0.0)

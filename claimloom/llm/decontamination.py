@@ -90,6 +90,8 @@ class Benchmark:
         for k, known in self.shingles.items():
             over = max(size for kk, size in self.groups if kk == k) + k  # blocks overlap by the longest window
             for at in range(0, max(1, len(all_words)), block_words):
+                if at and at + over > len(all_words):  # the block before has reached the end
+                    break
                 part = all_words[at : at + block_words + over]
                 if len(part) < k:
                     continue

@@ -14,12 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import add_columns, table
+from claimloom.llm.common import add_columns, map_arrow, table
 
-WINDOW = 128
+WINDOW, BATCH = 128, 2048  # bytes of a window, windows of a batch
 WIDTHS = (2, 3, 4)
 UNKNOWN = "und"
 WORD_LIKE = re.compile(r"[^\W\d_]")
@@ -48,8 +48,9 @@ class ByteCNN:
             best.append(np.take_along_axis(s, k[:, None], 1)[:, 0])
         return np.concatenate(best, 1) + self.bias, where
 
-    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 3, batch: int = 128, rate: float = 0.004, seed: int = 7) -> None:
-        """Adam on the cross entropy; max pooling sends a filter's gradient to its best place only."""
+    def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 3, batch: int = 128, rate: float = 0.004, seed: int = 7, least_steps: int = 300) -> None:
+        """Adam on the cross entropy; max pooling sends a filter's gradient to its best place only. Small samples are gone through more often."""
+        epochs = max(epochs, -(-least_steps // max(1, len(x) // batch)))
         rng, step = np.random.default_rng(seed), 0
         params = [*self.conv, self.bias, self.out, self.shift]
         first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
@@ -113,20 +114,23 @@ def windows(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw.ljust(rows * WINDOW, b"\0"), "u1").reshape(rows, WINDOW)
 
 
-def training_windows(labelled: DataFrame, per_language: int = 700, per_text: int = 4, languages: int = 200) -> list[tuple[str, bytes]]:
-    """A bounded sample for training: about per_language texts of each language, at most per_text windows of each.
+def training_windows(labelled: DataFrame, per_language: int = 700, per_text: int = 4) -> list[tuple[str, bytes]]:
+    """A bounded sample for training: about per_language distinct texts of each language, at most per_text windows of each.
 
-    `labelled` has text and lang. Texts are chosen by a hash, windows by another, so the sample is the same each
-    time. At most `languages` languages are learned, the most frequent. Bound on the driver: twice
-    per_language x per_text x languages windows of 128 bytes.
+    `labelled` has text and lang. Repeats of a text count once, so a text that stands very often neither crowds out
+    others nor is learned more often. Texts are chosen by a hash, windows by another, and no cut depends on the order
+    of rows: the sample is the same each time. Every label is learned. Bound on the driver: two times per_language x
+    per_text windows of 128 bytes for each label; labels are a closed set of names.
     """
-    rows = labelled.where("lang is not null and text is not null and trim(text) <> ''").select("text", "lang")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()}
+    rows = labelled.where("lang is not null and text is not null and trim(text) <> ''").select("text", "lang", F.xxhash64("text").alias("mark"))
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("mark", 0.02).alias("n")).collect()}
     if not counts:
         return []
-    share = F.create_map(*(F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, per_language / n))))
-    chance = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003.0
-    chosen = rows.where(chance < F.coalesce(share[F.col("lang")], F.lit(0.0)))
+    share = F.create_map(*(F.lit(v) for lang, n in sorted(counts.items()) for v in (lang, min(1.0, per_language / max(n, 1)))))
+    chance = F.pmod("mark", F.lit(1_000_003)) / 1_000_003.0
+    once = rows.where(chance < F.coalesce(share[F.col("lang")], F.lit(0.0))).groupBy("lang", "mark").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(chance, "mark"))  # over some per_language rows a language
+    chosen = once.withColumn("rank", rank).where(F.col("rank") <= 2 * per_language).select("text", "lang")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,7 +143,7 @@ def training_windows(labelled: DataFrame, per_language: int = 700, per_text: int
                     parts.append(x[k].tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(parts, pa.binary())], names=["lang", "bytes"])
 
-    found = chosen.mapInArrow(cut, "lang string, bytes binary").limit(2 * per_language * per_text * len(counts)).collect()
+    found = chosen.transform(map_arrow, cut, "lang string, bytes binary").collect()
     return sorted((r["lang"], bytes(r["bytes"])) for r in found)
 
 
@@ -160,27 +164,43 @@ def predict(df: DataFrame, model: ByteCNN | None, text_col: str = "text") -> Dat
     """df with lang_pred and score (0 to 1), from the whole text alone.
 
     Null texts and texts without a letter are `und` with score 0, as is every text if there is no model. Long
-    texts are scored window by window; nothing is cut off. Repeated rows get equal answers. Other columns pass
-    through; columns named like an output are replaced. An empty table gives an empty one.
+    texts are scored window by window; nothing is cut off. Windows of many texts go through the network together.
+    Scores are rounded to six places; repeated rows get equal answers. Other columns pass through; columns named
+    like an output are replaced. An empty table gives an empty one.
     """
 
     def start():
         score = model.scorer() if model else None
 
         def made(texts):
-            langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            at = [i for i, t in enumerate(texts) if score and t and any(m.group().isalpha() for m in WORD_LIKE.finditer(t))]
-            for i in at:
-                raw = texts[i].encode()
-                total = np.zeros(len(model.languages))
-                for k in range(0, len(raw), 1 << 20):
-                    x = windows(raw[k : k + (1 << 20)])
+            total, sizes = np.zeros((len(texts), len(model.languages) if model else 1)), np.zeros(len(texts))
+            held: list[tuple[int, np.ndarray, np.ndarray]] = []
+            rows = 0
+
+            def flush() -> None:
+                nonlocal rows
+                if held:
+                    p = score(np.concatenate([x for _, x, _ in held])) * np.concatenate([w for _, _, w in held])[:, None]
+                    np.add.at(total, np.repeat([i for i, _, _ in held], [len(x) for _, x, _ in held]), p)
+                held.clear()
+                rows = 0
+
+            for i, t in enumerate(texts):
+                if not score or not t or not any(m.group().isalpha() for m in WORD_LIKE.finditer(t)):
+                    continue
+                raw = t.encode()
+                sizes[i] = len(raw)
+                for k in range(0, len(raw), BATCH * WINDOW):
+                    x = windows(raw[k : k + BATCH * WINDOW])
                     weight = np.full(len(x), float(WINDOW))
-                    weight[-1] = len(raw[k : k + (1 << 20)]) - WINDOW * (len(x) - 1)
-                    total += weight @ score(x)
-                best = int(total.argmax())
-                langs[i], scores[i] = model.languages[best], min(1.0, float(total[best] / len(raw)))
-            return [langs, scores]
+                    weight[-1] = len(raw[k : k + BATCH * WINDOW]) - WINDOW * (len(x) - 1)
+                    held.append((i, x, weight))
+                    rows += len(x)
+                    if rows >= BATCH:
+                        flush()
+            flush()
+            best = total.argmax(1)
+            return [[model.languages[b] if n else UNKNOWN for b, n in zip(best.tolist(), sizes.tolist())], [min(1.0, round(float(r[b] / n), 6)) if n else 0.0 for r, b, n in zip(total, best.tolist(), sizes.tolist())]]
 
         return made
 

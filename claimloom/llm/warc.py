@@ -37,48 +37,55 @@ def plain_tag(etag: Column) -> Column:
     return F.regexp_replace(F.trim(etag), "^W/", "")
 
 
+def small_names(headers: Column) -> Column:
+    """Headers with names in small letters; of names that differ in case only the spelling that sorts last wins. A null map is empty."""
+    low = F.transform(F.array_sort(F.map_entries(F.coalesce(headers, F.expr("map()").cast("map<string,string>")))), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    names = F.array_distinct(F.transform(low, lambda e: e["key"]))
+    return F.map_from_arrays(names, F.transform(names, lambda n: F.element_at(F.filter(low, lambda e: e["key"] == n), -1)["value"]))
+
+
 def merged_headers(base: Column, update: Column) -> Column:
-    """The base's headers with the permitted ones of the update in their place; names in small letters, the later of two equal ones wins in neither."""
-    low = lambda m: F.map_from_entries(F.array_distinct(F.transform(F.map_entries(F.coalesce(m, F.expr("map()").cast("map<string,string>"))), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))))
-    new = F.map_filter(low(update), lambda k, v: k.isin(PERMITTED) & v.isNotNull())
-    return F.map_concat(F.map_filter(low(base), lambda k, v: ~F.array_contains(F.map_keys(new), k)), new)
+    """The base's headers, names in small letters, with the permitted ones of the update in their place."""
+    new = F.map_filter(small_names(update), lambda k, v: k.isin(PERMITTED) & v.isNotNull())
+    return F.map_concat(F.map_filter(small_names(base), lambda k, v: ~F.array_contains(F.map_keys(new), k)), new)
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
     """One row for each record: record_id, url_key, outcome, base_id, headers and body.
 
     `records` has record_id, url, ts (any ordered type), kind ('response' is a full response, all else a revisit),
-    etag, last_modified, headers (map<string,string>, names unique but for case) and body; other columns are left
-    out. outcome is `response`; or for a revisit `resolved` (its tag, or without one its date, equals the base's),
-    `unchecked` (it names no validator), `mismatch` or `no_base`. Earlier is by time, then responses first, then
-    record_id. A null URL or time has no base and is none. Only resolved and unchecked revisits get the base's
-    body and merged headers; the rest keep their own headers and a null body. Repeated rows each give a row;
-    of responses with one record_id any serves as the base. An empty table gives an empty one.
+    etag, last_modified, headers (map<string,string>) and body; other columns are left out. outcome is `response`; or
+    for a revisit `resolved` (its tag, or without one its date, equals the base's), `unchecked` (it names no
+    validator), `mismatch` or `no_base`. Earlier is by time, then responses first, then record_id. A null URL or
+    time has no base and is none. Only resolved and unchecked revisits get the base's body and merged headers; the
+    rest keep their own headers and a null body. Of header names that differ in case only, the spelling that
+    sorts last wins when headers are merged. Repeated rows each give a row, with their own headers; record_ids may be
+    null or repeated, and of responses of one URL, time and record_id any serves as the base. An empty table gives
+    an empty one.
     """
     full = F.col("kind").eqNullSafe("response")
-    keys = records.select("record_id", canonical_url(F.col("url")).alias("url_key"), "ts", full.alias("full"), plain_tag(F.col("etag")).alias("etag"), "last_modified")
+    keys = records.select("record_id", canonical_url(F.col("url")).alias("url_key"), "ts", full.alias("full"), plain_tag(F.col("etag")).alias("etag"), "last_modified", F.when(~full, F.col("headers")).alias("own"))
     order = ["ts", F.col("full").desc(), "record_id"]
     dealt = kept(keys.repartitionByRange("url_key", *order).withColumn("part", F.spark_partition_id()), "captures")
     may_base = F.col("full") & F.col("ts").isNotNull() & F.col("url_key").isNotNull()
-    here = F.when(may_base, F.struct(F.col("record_id").alias("id"), F.col("etag").alias("etag"), F.col("last_modified").alias("modified")))
+    here = F.when(may_base, F.struct(F.col("record_id").alias("id"), F.col("ts").alias("ts"), F.col("etag").alias("etag"), F.col("last_modified").alias("modified")))
     before = Window.partitionBy("part", "url_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    based = dealt.withColumn("near", F.last(here, ignorenulls=True).over(before))
+    based = dealt.withColumn("near", F.last(here, ignorenulls=True).over(before)).where("not full")
     ends = dealt.groupBy("part", "url_key").agg(F.max_by(here, F.when(may_base, F.struct("ts", (~F.col("full")).alias("later"), "record_id"))).alias("end"))
     carried = ends.select("part", "url_key", F.last("end", ignorenulls=True).over(Window.partitionBy("url_key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("carry")).where("carry is not null")
-    found = based.join(carried, ["part", "url_key"], "left").withColumn("base", F.when(~F.col("full") & F.col("ts").isNotNull(), F.coalesce("near", "carry")))
+    found = based.join(carried, ["part", "url_key"], "left").withColumn("base", F.when(F.col("ts").isNotNull(), F.coalesce("near", "carry")))
     agree = F.when(F.col("etag").isNotNull(), F.col("etag").eqNullSafe(F.col("base.etag"))).when(F.col("last_modified").isNotNull(), F.col("last_modified").eqNullSafe(F.col("base.modified")))
-    outcome = F.when(F.col("full"), "response").when(F.col("base").isNull(), "no_base").when(agree.isNull(), "unchecked").when(agree, "resolved").otherwise("mismatch")
-    decided = found.select("record_id", "url_key", "full", outcome.alias("outcome"), F.col("base.id").alias("base_id"))
-    # Rows without a usable base stay out of the join by base, where their null keys would all meet in one task.
+    outcome = F.when(F.col("base").isNull(), "no_base").when(agree.isNull(), "unchecked").when(agree, "resolved").otherwise("mismatch")
+    revisits = found.select("record_id", "url_key", outcome.alias("outcome"), F.col("base.id").alias("base_id"), F.col("base.ts").alias("base_ts"), "own")
+    # Rows without a usable base stay out of the join by base, where they would all meet in one task.
     usable = F.col("outcome").isin("resolved", "unchecked")
-    own = records.where(~full).select("record_id", F.col("headers").alias("own_headers")).dropDuplicates(["record_id"])
-    revisits = decided.where("not full").join(own, "record_id", "left")
-    bases = records.where(full).select(F.col("record_id").alias("base_id"), F.col("headers").alias("base_headers"), "body").dropDuplicates(["base_id"])
-    joined = revisits.where(usable).join(bases, "base_id").select("record_id", "url_key", "outcome", "base_id", merged_headers(F.col("base_headers"), F.col("own_headers")).alias("headers"), "body")
-    rest = revisits.where(~usable).select("record_id", "url_key", "outcome", "base_id", F.col("own_headers").alias("headers"), F.lit(None).cast(dict(records.dtypes)["body"]).alias("body"))
-    done = joined.unionByName(rest)
-    responses = records.where(full).select("record_id", canonical_url(F.col("url")).alias("url_key"), F.lit("response").alias("outcome"), F.lit(None).cast(dict(records.dtypes)["record_id"]).alias("base_id"), "headers", "body")
-    return responses.unionByName(done)
+    responses = records.where(full).select("record_id", canonical_url(F.col("url")).alias("url_key"), "ts", "headers", "body")
+    bases = responses.select(F.col("record_id").alias("its_id"), F.col("url_key").alias("its_key"), F.col("ts").alias("its_ts"), F.col("headers").alias("base_headers"), "body").dropDuplicates(["its_id", "its_key", "its_ts"])
+    same = F.col("base_id").eqNullSafe(F.col("its_id")) & (F.col("url_key") == F.col("its_key")) & (F.col("base_ts") == F.col("its_ts"))
+    joined = revisits.where(usable).join(bases, same, "left").select("record_id", "url_key", "outcome", "base_id", merged_headers(F.col("base_headers"), F.col("own")).alias("headers"), "body")
+    rest = revisits.where(~usable).select("record_id", "url_key", "outcome", "base_id", F.col("own").alias("headers"), F.lit(None).cast(dict(records.dtypes)["body"]).alias("body"))
+    plain = responses.select("record_id", "url_key", F.lit("response").alias("outcome"), F.lit(None).cast(dict(records.dtypes)["record_id"]).alias("base_id"), "headers", "body")
+    return plain.unionByName(joined).unionByName(rest)
 
 
 def captures_of_pages(pages: DataFrame) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import table
+from claimloom.llm.common import map_arrow, new_path, table
 
 #: Row by row positions of the 64 coefficients in the order of the format (a fixed rule: diagonals in turn).
 ZIGZAG = np.array(sorted(range(64), key=lambda p: (p // 8 + p % 8, (p // 8 if (p // 8 + p % 8) % 2 else p % 8))))
@@ -333,8 +333,16 @@ def _coded_scan(image: Image, parts: list[tuple[Component, int, int]], tables: d
 def decode(raw: bytes, flat: bool = True) -> Image:
     """All scans of a progressive file accumulated into its components' coefficient arrays (blocks, 64), in zigzag order.
 
-    flat=False reads every scan symbol by symbol. A file that breaks off keeps what its scans gave so far.
+    flat=False reads every scan symbol by symbol. A file that breaks off keeps what its scans gave so far. Any other
+    fault is a ValueError; a frame of more blocks than the file has bits is one, so memory follows the file's length.
     """
+    try:
+        return _decode(raw, flat)
+    except (IndexError, KeyError, OverflowError, TypeError, struct.error) as fault:
+        raise ValueError("a broken file") from fault
+
+
+def _decode(raw: bytes, flat: bool) -> Image:
     if raw[:2] != b"\xff\xd8":
         raise ValueError("no JPEG file")
     at, quant, tables, restart, blocks = 2, {}, {}, 0, None
@@ -375,8 +383,13 @@ def decode(raw: bytes, flat: bool = True) -> Image:
             image = Image(width, height, parts, quant, None)
             most_a, most_d = max(c.across for c in parts), max(c.down for c in parts)
             for c in parts:
+                if not most_a or not most_d:
+                    raise ValueError("a component without samples")
                 c.wide, c.high = -(-width // (8 * most_a)) * c.across, -(-height // (8 * most_d)) * c.down
                 c.own_wide, c.own_high = -(-(-(-width * c.across // most_a)) // 8), -(-(-(-height * c.down // most_d)) // 8)
+            if not all(c.across and c.down for c in parts) or sum(c.wide * c.high for c in parts) > 8 * len(raw):
+                raise ValueError("a frame that the file can't fill")
+            for c in parts:
                 c.coefficients = np.zeros((c.wide * c.high, 64), "i4")
         elif marker == 0xDA:
             if image is None:
@@ -396,24 +409,30 @@ def decode(raw: bytes, flat: bool = True) -> Image:
 
 
 def _basis() -> np.ndarray:
-    """The inverse transform of a block as one matrix: 64 coefficients in zigzag order to 64 pixels in rows."""
+    """The inverse transform of a block as one matrix: 64 coefficients in zigzag order to 64 pixels in rows.
+
+    In multiples of 1/4096: sums of a block's products are then exact in any order, so all machines give equal pixels.
+    """
     k, x = np.arange(8)[:, None], np.arange(8)[None, :]
     one = np.where(k == 0, np.sqrt(0.125), 0.5) * np.cos((2 * x + 1) * k * np.pi / 16)  # (frequency, place)
     both = np.einsum("uy,vx->uvyx", one, one).reshape(64, 64)
-    return both[ZIGZAG].astype("f4")
+    return np.round(both[ZIGZAG] * 4096) / 4096
 
 
 BASIS = _basis()
+EXACT = 129  # up to this magnitude 32-bit floats hold every sum
 
 
 def planes(image: Image) -> list[np.ndarray]:
     """Each component's samples, 0 to 255, at its own resolution."""
     out = []
     for c in image.components:
-        scaled = BASIS * image.quant[c.quant][:, None]
-        pixels = np.empty((c.wide * c.high, 64), "f4")
+        most = max(int(c.coefficients.max(initial=0)), -int(c.coefficients.min(initial=0))) * float(image.quant[c.quant].max())
+        kind = "f4" if most <= EXACT else "f8"
+        scaled = (BASIS * image.quant[c.quant][:, None]).astype(kind)
+        pixels = np.empty((c.wide * c.high, 64), kind)
         for i in range(0, len(pixels), 1 << 14):
-            pixels[i : i + (1 << 14)] = c.coefficients[i : i + (1 << 14)].astype("f4") @ scaled
+            pixels[i : i + (1 << 14)] = c.coefficients[i : i + (1 << 14)].astype(kind) @ scaled
         pixels += 128.5
         np.clip(pixels, 0, 255, out=pixels)
         out.append(pixels.astype("u1").reshape(c.high, c.wide, 8, 8).transpose(0, 2, 1, 3).reshape(c.high * 8, c.wide * 8))
@@ -470,7 +489,7 @@ def encode_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 yield pa.RecordBatch.from_arrays([ids[i : i + 64], pa.array(raw, pa.int64()), pa.array([encode(padded(t)) for t in part], pa.binary())], names=["doc_id", "n_bytes", "media"])
 
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return rows.transform(map_arrow, run, "doc_id long, n_bytes long, media binary")
 
 
 def decode_media(media: DataFrame, media_col: str = "media") -> DataFrame:
@@ -480,14 +499,30 @@ def decode_media(media: DataFrame, media_col: str = "media") -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 raw = batch.column(1)[i].as_py()
+                row: list = [None] * 4
                 try:
-                    image = decode(raw) if raw else None
-                except ValueError:
-                    image = None
-                row = [image.width, image.height, rgb(image).tobytes(), payload(image) if image.blocks is not None else None] if image else [None] * 4
+                    if raw:
+                        image = decode(raw)
+                        row = [image.width, image.height, rgb(image).tobytes(), payload(image) if image.blocks is not None else None]
+                except (ValueError, KeyError):  # a table that a component names may be missing
+                    row = [None] * 4
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i : i + 1], *(pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.binary(), pa.binary())))], names=["doc_id", "width", "height", "tensor", "payload"])
 
-    return media.select("doc_id", media_col).mapInArrow(run, "doc_id long, width int, height int, tensor binary, payload binary")
+    return media.select("doc_id", media_col).transform(map_arrow, run, "doc_id long, width int, height int, tensor binary, payload binary")
+
+
+def write_media(df: DataFrame, out: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The files of encode_media written as a Parquet table at `out`, and the table as it is read back."""
+    media = encode_media(df, id_col, text_col)
+    media.write.option("compression", "zstd").parquet(out)
+    return df.sparkSession.read.schema(media.schema).parquet(out)
+
+
+def write_tensors(media: DataFrame, out: str) -> DataFrame:
+    """The full-resolution tensors of decode_media written as a Parquet table at `out`, and the table as it is read back."""
+    tensors = decode_media(media)
+    tensors.write.option("compression", "zstd").parquet(out)
+    return media.sparkSession.read.schema(tensors.schema).parquet(out)
 
 
 def digest_media(media: DataFrame) -> DataFrame:
@@ -512,9 +547,9 @@ def digest_media(media: DataFrame) -> DataFrame:
                 names=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"],
             )
 
-    return media.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return media.transform(map_arrow, run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
 def op7_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document stored as a progressive file and read back."""
-    return digest_media(encode_media(table(spark, sf_dir, "documents")))
+    """Every document stored as a progressive file in a table of the shared folder; the features are of what is read back."""
+    return digest_media(write_media(table(spark, sf_dir, "documents"), new_path(spark, "media")))

@@ -53,7 +53,7 @@ def test_other_progressive_files():
     file += J._scan(1, 0, 1, 63, 1, 0, pack(ac[0x31] + "1" + "1" + ac[0x00] + "0" + ac[0x01] + "1" + ac[0x00])) + b"\xff\xd9"
     c = J.decode(file).components[0].coefficients
     assert c[:, 0].tolist() == [3, 2]
-    assert c[0, 1:7].tolist() == [3, 0, 0, 0, -2, 0] or c[0, 1] == 3
+    assert c[0, 1:7].tolist() == [3, 0, 0, 0, -2, 1] and c[1, 1:4].tolist() == [1, 0, 0]
     with pytest.raises(ValueError):
         J.decode(b"no picture")
     with pytest.raises(ValueError):
@@ -132,9 +132,6 @@ def test_shards(spark, docs, empty, tmp_path):
     pairs = {(r["lang"], r["source"]) for r in found}
     assert sum(len({(r["lang"], r["source"]) for r in found if r["shard"] == s}) for s in range(8)) < 3 * len(pairs)  # of 8 times as many if spread
     assert H.assign_shards(table.limit(0), ["lang"]).count() == 0
-    ids = table.where("doc_id is not null").dropDuplicates(["doc_id"])
-    H.write_shards(ids.select("doc_id", F.lit("t").alias("text")), H.assign_shards(ids, ["lang", "source"]), str(tmp_path / "s"))
-    assert spark.read.parquet(str(tmp_path / "s")).count() == ids.count()
 
 
 def test_canonical_urls(spark):

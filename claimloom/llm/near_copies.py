@@ -3,8 +3,13 @@
 Each text gives its set of five-word shingles, by hash; equal sets collapse first. Of each set the smallest hashes
 are its keys, as many as two sets of the similarity can't both miss, up to KEYS: sets with fewer than 80 shingles
 always share a key, larger ones miss each other with a chance of at most 0.2 ** KEYS. Sets that share a key are
-compared in numpy tiles by exclusive-or of their fingerprints, with a radius far beyond that of the similarity, and
-by size; the pairs left are verified by the exact Jaccard similarity of the whole sets before they link.
+compared in numpy tiles by exclusive-or of their fingerprints, with a radius over four standard deviations beyond that
+of the similarity, by size, and by the bytes that two sets share in 256 classes of hashes, with as much room; the pairs
+left are verified by the exact Jaccard similarity of the whole sets before they link.
+
+Only what a group joins counts, so the pairs of a large group are never all made: first every set is verified against
+its nearest in a few of its keys' tiles, which joins most of a group in a number of pairs linear in its size; then all
+candidate pairs of sets that are still in different groups are verified, which leaves no link out.
 """
 
 from __future__ import annotations
@@ -17,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import add_columns, kept, map_arrow
+from claimloom.llm.common import add_columns, dropped, kept, map_arrow
 from claimloom.llm.simhash import bit_counts, close_pairs, components, shingle_hashes, word_blocks
 
-WIDTH, SIMILARITY, RADIUS, KEYS = 5, 0.8, 26, 16
+WIDTH, SIMILARITY, RADIUS, KEYS, BINS = 5, 0.8, 22, 16, 256
+SURE = 4.5  # standard deviations that an estimate may fall short of the similarity
+FIRST = 4  # keys of the first round
 
 
 def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -49,32 +56,69 @@ def set_print(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<i8")[0])
 
 
+def set_bins(hashes: np.ndarray) -> bytes:
+    """One byte of the smallest hash in each of BINS classes, zero for an empty class: two sets agree in about as many as they are similar."""
+    out = np.zeros(BINS, "u1")
+    out[(hashes[::-1] % BINS).astype("i8")] = 1 + (hashes[::-1] // BINS) % 255  # hashes ascend, so the smallest is written last
+    return out.tobytes()
+
+
 def prefix(size: int, similarity: float) -> int:
     """How many of a set's smallest hashes can't all be missing from a set of the similarity."""
     return size - math.ceil(similarity * size - 1e-9) + 1 if size else 0
 
 
-def _candidates(radius: int, similarity: float):
-    """Pairs (a, b) among rows (grp, node, fp, n) that arrive sorted by grp, within the radius and of sizes that allow the similarity."""
+def _candidates(radius: int, similarity: float, nearest: bool):
+    """Pairs (a, b) of rows (grp, node, fp, n, bins, comp) that arrive sorted by grp: within the radius, of sizes and bins that allow the similarity, and of different comps.
 
-    def pairs(groups: np.ndarray, nodes: np.ndarray, fps: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    With `nearest` each row gives at most one pair in its group, that with the nearest row before it.
+    """
+
+    def pairs(groups: np.ndarray, nodes: np.ndarray, fps: np.ndarray, n: np.ndarray, bins: np.ndarray, comps: np.ndarray) -> pa.RecordBatch:
         x, y = close_pairs(groups, fps, radius)
-        keep = np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-9
-        x, y = nodes[x[keep]], nodes[y[keep]]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+        keep = (comps[x] != comps[y]) & (np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-9)
+        x, y = x[keep], y[keep]
+        alike = np.zeros(len(x))
+        for i in range(0, len(x), 1 << 14):
+            a, b = bins[x[i : i + (1 << 14)]], bins[y[i : i + (1 << 14)]]
+            used = np.maximum(((a | b) != 0).sum(1), 1)
+            share = ((a == b) & (a != 0)).sum(1) / used
+            union = (n[x[i : i + (1 << 14)]] + n[y[i : i + (1 << 14)]]) / (1 + similarity)  # of which `used` are a sample without repeats
+            spread = np.sqrt(similarity * (1 - similarity) / used * np.maximum(1 - used / np.maximum(union, 1), 0))
+            alike[i : i + (1 << 14)] = np.where(share >= similarity - SURE * spread - 0.02, share, -1)
+        keep = alike >= 0
+        x, y, alike = x[keep], y[keep], alike[keep]
+        if nearest and len(x):
+            x, y = np.where(nodes[x] < nodes[y], x, y), np.where(nodes[x] < nodes[y], y, x)
+            order = np.lexsort((nodes[x], -alike, y))
+            first = order[np.flatnonzero(np.diff(y[order], prepend=-1))]
+            x, y = x[first], y[first]
+        pair = np.unique(np.stack([np.minimum(nodes[x], nodes[y]), np.maximum(nodes[x], nodes[y])], 1), axis=0) if len(x) else np.zeros((0, 2), "i8")
+        return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
+
+    def cut(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """Whole groups at a time, about four million comparisons or one group."""
+        bounds = np.concatenate([[0], np.flatnonzero(np.diff(held[0])) + 1, [len(held[0])]])
+        work = np.cumsum(np.diff(bounds) ** 2)
+        at = 0
+        while at < len(work):
+            to = max(at + 1, int(np.searchsorted(work, (work[at - 1] if at else 0) + 4_000_000, side="right")))
+            yield pairs(*(c[bounds[at] : bounds[to]] for c in held))
+            at = to
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
             cols = [batch.column(c).to_numpy() for c in ("grp", "node", "fp", "n")]
             cols[2] = cols[2].view("u8")
+            cols += [np.frombuffer(b"".join(batch.column("bins").to_pylist()), "u1").reshape(-1, BINS), batch.column("comp").to_numpy()]
             held = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
             whole = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last group may go on
             if whole >= 20_000:
-                yield pairs(*(x[:whole] for x in held))
+                yield from cut([x[:whole] for x in held])
                 held = [x[whole:] for x in held]
         if held is not None and len(held[0]):
-            yield pairs(*held)
+            yield from cut(held)
 
     return run
 
@@ -94,17 +138,9 @@ def _similar(similarity: float):
     return run
 
 
-def similar_sets(rows: DataFrame, sketches: DataFrame, width: int, similarity: float, radius: int, tile_rows: int) -> DataFrame:
-    """The links (a, b) among the sets of `rows` (text, hash), whose sketches are given."""
-    distinct = kept(sketches.dropDuplicates(["node"]).select("node", "hash", "fp", "n", "keys"), "sets")
-    keyed = distinct.select("node", "fp", "n", F.explode("keys").alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1")
-    cut = F.ceil(F.col("rows") / F.lit(tile_rows)).cast("int")
-    tiled = keyed.join(sizes, "key").withColumn("cut", cut).withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), F.col("cut")).cast("int"))
-    paired = tiled.select("key", "node", "fp", "n", "tile", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("other"))
-    grouped = paired.select(F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")).alias("grp"), "node", "fp", "n")
-    pairs = grouped.repartition("grp").sortWithinPartitions("grp").transform(map_arrow, _candidates(radius, similarity), "a long, b long")
-    pairs = kept(pairs.where("a <> b").distinct(), "candidates")
+def verified(pairs: DataFrame, distinct: DataFrame, rows: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Those of the pairs (a, b) with the similarity, in a table. Sets are made again of the texts of `rows` (text, hash), for the pairs' nodes alone."""
+    pairs = kept(pairs.distinct(), "candidates")
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = distinct.join(named, "node", "left_semi").select("hash")
 
@@ -117,7 +153,34 @@ def similar_sets(rows: DataFrame, sketches: DataFrame, width: int, similarity: f
 
     sets = kept(add_columns(rows.join(wanted, "hash", "left_semi").dropDuplicates(["hash"]).select("text"), ["text"], "node long, hashes binary", start).select("node", "hashes").dropDuplicates(["node"]), "hashes")
     sides = [sets.select(F.col("node").alias(s), F.col("hashes").alias(f"set_{s}")) for s in "ab"]
-    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "set_a", "set_b").transform(map_arrow, _similar(similarity), "a long, b long")
+    found = kept(pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "set_a", "set_b").transform(map_arrow, _similar(similarity), "a long, b long"), "similar")
+    dropped(pairs)
+    dropped(sets)
+    return found
+
+
+def similar_sets(rows: DataFrame, sketches: DataFrame, width: int, similarity: float, radius: int, tile_rows: int) -> DataFrame:
+    """A spanning set (a, b) of the links among the sets of `rows` (text, hash), whose sketches are given."""
+    distinct = kept(sketches.dropDuplicates(["node"]).select("node", "hash", "fp", "n", "bins", "keys"), "sets")
+    cut = F.ceil(F.col("rows") / F.lit(tile_rows)).cast("int")
+
+    def near(keyed: DataFrame, nearest: bool) -> DataFrame:
+        return keyed.repartition("grp").sortWithinPartitions("grp").transform(map_arrow, _candidates(radius, similarity, nearest), "a long, b long")
+
+    # Each key's rows in tiles that are compared within themselves; tiles differ from key to key, so that groups join over them.
+    few = distinct.select("node", "fp", "n", "bins", F.explode(F.slice("keys", 1, FIRST)).alias("key"))
+    sizes = kept(few.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1"), "sizes")
+    tiled = few.join(sizes, "key").select(F.xxhash64("key", F.pmod(F.xxhash64("node", "key"), cut)).alias("grp"), "node", "fp", "n", "bins", F.col("node").alias("comp"))
+    joined = verified(near(tiled, True), distinct, rows, width, similarity)
+    group = components(joined).withColumnRenamed("node", "linked")
+    # What is still apart: keys that more than one group has, all tiles against all.
+    named = kept(distinct.join(group, F.col("node") == F.col("linked"), "left").select("node", "fp", "n", "bins", "keys", F.coalesce("root", "node").alias("comp")), "joined")
+    keyed = named.select("node", "fp", "n", "bins", "comp", F.explode("keys").alias("key"))
+    open_ = kept(keyed.groupBy("key").agg(F.count("*").alias("rows"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key", "rows"), "open")
+    tiled = keyed.join(open_, "key").withColumn("cut", cut).withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), F.col("cut")).cast("int"))
+    paired = tiled.select("key", "node", "fp", "n", "bins", "comp", "tile", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("other"))
+    grouped = paired.select(F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")).alias("grp"), "node", "fp", "n", "bins", "comp")
+    return joined.unionByName(verified(near(grouped, False), distinct, rows, width, similarity))
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY, radius: int = RADIUS, tile_rows: int = 2048) -> DataFrame:
@@ -132,16 +195,16 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
 
     def start():
         def made(texts):
-            out: list[list] = [[] for _ in range(4)]
+            out: list[list] = [[] for _ in range(5)]
             for t in texts:
                 s = shingle_set(t, width)
-                for o, v in zip(out, (set_name(s), set_print(s), len(s), s[: min(KEYS, prefix(len(s), similarity))].view("i8").tolist())):
+                for o, v in zip(out, (set_name(s), set_print(s), len(s), set_bins(s), s[: min(KEYS, prefix(len(s), similarity))].view("i8").tolist())):
                     o.append(v)
             return out
 
         return made
 
-    sketches = kept(add_columns(rows, ["text"], "node long, fp long, n int, keys array<bigint>", start).drop("text"), "sketches")
+    sketches = kept(add_columns(rows, ["text"], "node long, fp long, n int, bins binary, keys array<bigint>", start).drop("text"), "sketches")
     group = components(similar_sets(rows, sketches, width, similarity, radius, tile_rows)).withColumnRenamed("node", "linked")
     named = sketches.join(group, F.col("node") == F.col("linked"), "left").select("id", "hash", F.coalesce("root", "node").alias("root"))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "hash")

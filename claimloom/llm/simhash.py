@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import add_columns, drop_path, kept, map_arrow, table
+from claimloom.llm.common import add_columns, dropped, kept, map_arrow, table
 
 BLANK = re.compile(rb"[\x20\x09-\x0d]")
 
@@ -182,7 +182,6 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large and small stars until a round changes nothing; each round is a table in the shared folder.
     """
-    spark = edges.sparkSession
     now = kept(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars")
     mark = lambda df: tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
     state = mark(now)
@@ -194,7 +193,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
         old, now = now, kept(small, "stars")
         after = mark(now)
-        drop_path(spark, old.inputFiles()[0].rsplit("/", 1)[0])
+        dropped(old)
         if after == state:
             break
         state = after

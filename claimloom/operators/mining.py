@@ -6,9 +6,12 @@ of the text.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import pandas as pd
 from pyspark.sql import Column
@@ -44,82 +47,65 @@ NO_ACTORS = {"Board", "Company", "Table of Contents", "Transaction Committee"}
 CONTEXT_CHARS = 120
 
 
-def _free(taken: list[tuple[int, int]], m: re.Match) -> bool:
-    return all(m.end() <= a or b <= m.start() for a, b in taken)
+# A full stop that ends a sentence: after no abbreviation and no initial, and not between digits.
+STOP = re.compile("".join(f"(?<!{re.escape(a[:-1])})" for a in ABBREVIATIONS) + r"(?<!\b[A-Z])(?:(?<!\d)\.|\.(?!\d))")
+# A name between what may surround it: signs, an article, a possessive.
+CORE = re.compile(r"[ ,.;:]*(?:The )?[ ,.;:]*(?P<name>.*?)[ ,.;:]*(?:['’]s)?[ ,.;:]*", re.DOTALL)
+
+
+def claimed(text: str, *patterns: str, flags: int = 0) -> list[re.Match]:
+    """Matches in the order of the text; a character belongs to one match at most, earlier patterns first."""
+    owner, found = bytearray(len(text)), []
+    for pattern in patterns:
+        for m in re.finditer(pattern, text, flags):
+            here = slice(*m.span())
+            if not any(owner[here]):
+                owner[here] = b"\1" * len(m.group())
+                found.append(m)
+    return sorted(found, key=re.Match.start)
 
 
 def bids(text: str) -> list[Match]:
     """Ranges of amounts a share, and single amounts outside of them; values as floats."""
-    taken, out = [], []
-    for m in re.finditer(AMOUNT_RANGE, text):
-        taken.append(m.span())
-        out.append((m.group(), f"{float(m.group(1))}-{float(m.group(2))}", *m.span()))
-    out += [(m.group(), str(float(m.group(1))), *m.span()) for m in re.finditer(AMOUNT_SINGLE, text) if _free(taken, m)]
-    return sorted(out, key=lambda x: x[2])
+    return [(m.group(), "-".join(str(float(v)) for v in m.groups()), *m.span()) for m in claimed(text, AMOUNT_RANGE, AMOUNT_SINGLE)]
 
 
 def counts(text: str) -> list[Match]:
     """Numbers of participants: patterns in the order of their priority, each where no earlier one matched."""
-    taken: list[tuple[int, int]] = []
-    out = []
-    for pattern in COUNT_PATTERNS:
-        for m in re.finditer(pattern, text, re.IGNORECASE):
-            if _free(taken, m):
-                word = m.group("count").lower()
-                out.append((m.group(), str(NUMBER_WORDS.get(word) or int(word)), *m.span()))
-                taken.append(m.span())
-    return sorted(out, key=lambda x: x[2])
-
-
-def _ends_sentence(text: str, at: int) -> bool:
-    if text[at - 1 : at].isdigit() and text[at + 1 : at + 2].isdigit():
-        return False
-    tail = text[max(0, at - 12) : at + 1]
-    return not tail.endswith(ABBREVIATIONS) and not re.search(r"\b[A-Z]\.$", tail)
+    number = lambda word: NUMBER_WORDS[word] if word in NUMBER_WORDS else int(word)
+    return [(m.group(), str(number(m["count"].lower())), *m.span()) for m in claimed(text, *COUNT_PATTERNS, flags=re.IGNORECASE)]
 
 
 def dated_events(text: str) -> list[Match]:
     """Sentences that begin with a date, cut where the next one begins. A date that no calendar has is left out."""
-    starts = list(re.finditer(DATED, text))
-    out = []
-    for m, limit in zip(starts, [n.start() for n in starts[1:]] + [len(text)]):
-        try:
-            day = dt.datetime.strptime(m.group(1), "%B %d, %Y").date().isoformat()
-        except ValueError:
-            continue
-        end = next((i + 1 for i in range(m.start(), limit) if text[i] == "." and _ends_sentence(text, i)), limit)
-        raw = text[m.start() : end].strip()
-        out.append((raw, day, m.start(), m.start() + len(raw)))
-    return out
-
-
-def _trimmed(text: str, start: int, end: int) -> tuple[str, int, int]:
-    """A name without signs at its ends, a leading article and a possessive."""
-    raw = text[start:end]
-    start += len(raw) - len(raw.lstrip(" ,.;:"))
-    raw = raw.strip(" ,.;:")
-    if raw.startswith("The "):
-        raw, start = raw[4:], start + 4
-    raw = re.sub(r"['’]s$", "", raw).strip(" ,.;:")
-    return raw, start, start + len(raw)
-
-
-def _is_organization(name: str) -> bool:
-    words = name.split()
-    return name not in NO_ACTORS and bool(words) and ("&" in name or (len(words) > 1 and words[-1] in ORG_ENDINGS))
+    found = []
+    for m, after in pairwise([*re.finditer(DATED, text), None]):
+        with contextlib.suppress(ValueError):
+            day = dt.datetime.strptime(m[1], "%B %d, %Y").date()
+            limit = after.start() if after else len(text)
+            stop = STOP.search(text, m.start(), min(limit + 1, len(text)))  # one more, to see whether a digit follows
+            raw = text[m.start() : stop.end() if stop and stop.end() <= limit else limit].rstrip()
+            found.append((raw, day.isoformat(), m.start(), m.start() + len(raw)))
+    return found
 
 
 def actors(text: str) -> list[Match]:
     """Handles, and names of organizations near words of a sale; each label once, at its first place."""
-    spots = [(m.group(), *m.span()) for m in re.finditer(HANDLE, text)]
+    spots = {m.span(): m.group() for m in re.finditer(HANDLE, text)}
+    near = [m.span() for m in re.finditer(CONTEXT, text, re.IGNORECASE)]
+    starts = [a for a, _ in near]
     for m in re.finditer(NAME, text):
-        name, start, end = _trimmed(text, *m.span())
-        if _is_organization(name) and re.search(CONTEXT, text[max(0, m.start() - CONTEXT_CHARS) : m.end() + CONTEXT_CHARS], re.IGNORECASE):
-            spots.append((name, start, end))
-    out: dict[str, Match] = {}
-    for name, start, end in sorted(spots, key=lambda x: x[1:]):
-        out.setdefault(name, (name, name, start, end))
-    return list(out.values())
+        core = CORE.fullmatch(m.group())
+        label, last = core["name"], core["name"].rpartition(" ")
+        if label in NO_ACTORS or not ("&" in label or last[0] and last[2] in ORG_ENDINGS):
+            continue
+        k = bisect_left(starts, m.start() - CONTEXT_CHARS)
+        if k < len(near) and near[k][1] <= m.end() + CONTEXT_CHARS:
+            spots.setdefault((m.start() + core.start("name"), m.start() + core.end("name")), label)
+    labels: dict[str, tuple[int, int]] = {}
+    for span in sorted(spots):
+        labels.setdefault(spots[span], span)
+    return [(label, label, *span) for label, span in labels.items()]
 
 
 def mined(function: Callable[[str], list[Match]], text: Column) -> Column:

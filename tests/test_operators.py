@@ -36,6 +36,11 @@ def test_mining():
     assert [m[:2] for m in M.bids("$5 to $6 per share, $7 per share; $8")] == [("$5 to $6 per share", "5.0-6.0"), ("$7 per share", "7.0")]
     assert [m[1] for m in M.counts("Twenty-five parties; one of the potentially interested parties submitted indications of interest")] == ["25", "1"]
     assert M.dated_events("On Foo 1, 2014, no. On June 31, 2014, none.") == []
+    assert [m[:2] for m in M.dated_events("On May 1, 2014, Mr. A. B paid $2.50 to X Inc. then. More. On June 3, 2014, no stop On July 4, 2014, J.P. left.")] == [
+        ("On May 1, 2014, Mr. A. B paid $2.50 to X Inc. then.", "2014-05-01"), ("On June 3, 2014, no stop", "2014-06-03"), ("On July 4, 2014, J.P. left.", "2014-07-04"),
+    ]
+    assert M.counts("contacted a total of 12 parties and two bidders, twenty bidders") == [("contacted a total of 12 parties", "12", 0, 31), ("two bidders", "2", 36, 47), ("twenty bidders", "20", 49, 63)]
+    assert M.actors("The A&B's, offered a merger agreement") == [("A&B", "A&B", 4, 7)] and M.actors("Acme Holdings " + "x " * 90 + "offer") == []
     assert [m[0] for m in M.actors("The Acme Holdings made an offer to Party B. Party B left Acme Holdings.")] == ["Acme Holdings", "Party B"]
 
 

@@ -107,3 +107,22 @@ NUMBER_WORDS = {
     "eleven": 11, "twelve": 12, "thirteen": 13, "fourteen": 14, "fifteen": 15, "sixteen": 16, "seventeen": 17, "eighteen": 18, "nineteen": 19, "twenty": 20,
     "twenty-four": 24, "twenty-five": 25, "twenty-seven": 27, "thirty-five": 35, "fifty": 50, "fifty-eight": 58,
 }
+
+# What the typed fields of a payload's claims may hold.
+CONFIDENCES = ["low", "medium", "high"]
+ACTOR_KINDS = ["organization", "person", "group", "vehicle", "cohort", "committee"]
+OBSERVABILITIES = ["named", "anonymous_handle", "count_only"]
+EVENT_TYPES = ["process", "bid", "transaction"]
+EVENT_SUBTYPES = [
+    "contact_initial", "nda_signed", "ioi_submitted", "first_round_bid", "final_round_bid", "exclusivity_grant", "merger_agreement_executed", "withdrawn_by_bidder",
+    "excluded_by_target", "non_responsive", "cohort_closure", "advancement_admitted", "advancement_declined", "rollover_executed", "financing_committed",
+]
+EVENT_ROLES = [
+    "target", "bid_submitter", "potential_buyer", "group_vehicle", "group_member", "advisor_for_target", "advisor_for_bidder", "equity_financing_source",
+    "debt_financing_source", "support_shareholder", "rollover_holder", "offeror", "acquisition_sub", "sender", "recipient",
+]
+BID_STAGES = ["initial", "revised", "final", "unspecified"]
+PROCESS_STAGES = ["contacted", "nda_signed", "ioi_submitted", "first_round", "final_round", "exclusivity"]
+ACTOR_CLASSES = ["financial", "strategic", "mixed"]
+COUNT_QUALIFIERS = ["exact", "approximate", "lower_bound", "upper_bound", "range"]
+RELATION_TYPES = ["member_of", "affiliate_of", "controls", "acquisition_vehicle_of", "advises", "finances", "supports", "voting_support_for", "rollover_holder_for", "committee_member_of", "recused_from"]

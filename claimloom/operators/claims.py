@@ -19,7 +19,7 @@ _COMMON = "claim_type string, coverage_obligation_id string, confidence string,
 PAYLOAD = {
     "actor_claims": f"{_COMMON}, actor_label string, actor_kind string, observability string",
     "event_claims": f"{_COMMON}, event_type string, event_subtype string, event_date string, description string, actor_label string, actor_role string",
-    "bid_claims": f"{_COMMON}, bidder_label string, bid_date string, bid_value double, bid_value_lower double, bid_value_upper double, bid_stage string",
+    "bid_claims": f"{_COMMON}, bidder_label string, bid_date string, bid_value double, bid_value_lower double, bid_value_upper double, bid_value_unit string, consideration_type string, bid_stage string",
     "participation_count_claims": f"{_COMMON}, process_stage string, actor_class string, count_min int, count_max int, count_qualifier string",
     "actor_relation_claims": f"{_COMMON}, subject_label string, object_label string, relation_type string, role_detail string, effective_date_first string",
 }
@@ -27,7 +27,10 @@ SCHEMA = ", ".join(f"{name}: array<struct<{fields}>>" for name, fields in PAYLOA
 
 
 def parse_payloads(payloads: DataFrame, json_col: str = "payload") -> DataFrame:
-    """payloads with the parsed struct `parsed` and `parse_error`: malformed, or a key that no claim array has."""
+    """payloads with the parsed struct `parsed` and `parse_error`: malformed, or a key that no claim array has.
+
+    Items are taken as they are; operators.contract finds their faults.
+    """
     parsed = payloads.withColumn("parsed", F.from_json(json_col, f"struct<{SCHEMA}>"))
     keys = F.json_object_keys(json_col)
     unknown = F.exists(keys, lambda k: ~k.isin(list(PAYLOAD)))

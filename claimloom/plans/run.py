@@ -19,6 +19,7 @@ from claimloom.functions import text as X
 from claimloom.functions import vocabulary as V
 from claimloom.functions.ids import make_id
 from claimloom.operators import claims as C
+from claimloom.operators import contract as K
 from claimloom.operators import evidence as E
 from claimloom.operators import ingest as I
 from claimloom.operators import project as P
@@ -91,10 +92,14 @@ class Extracted:
     refused: DataFrame
 
 
-def extract(windows: DataFrame, payloads: DataFrame, obligations: DataFrame) -> Extracted:
-    """Binds the claims of payloads (request_id, payload) to windows. A request with any fault is refused whole."""
-    parsed = C.parse_payloads(payloads)
-    broken = parsed.where("parse_error is not null").select("request_id", F.col("parse_error").alias("violation"))
+def extract(windows: DataFrame, payloads: DataFrame, obligations: DataFrame, faults: DataFrame | None = None) -> Extracted:
+    """Binds the claims of payloads (request_id, payload) to windows. A request with any fault is refused whole.
+
+    faults: what payload_faults gives of the payloads, if it is at hand already.
+    """
+    faults = K.payload_faults(payloads.select("request_id", "payload")) if faults is None else faults
+    broken = faults.select("request_id", F.regexp_replace("fault", " .*$", "").alias("violation")).distinct()
+    parsed = C.parse_payloads(payloads)  # claims of faulty payloads go below, with those of all refused requests
     head = windows.select("request_id", "deal_slug", "filing_id", "region_id", "window_id")
     flat = C.flatten(parsed.where("parse_error is null")).join(head, "request_id")
     n = F.row_number().over(_claim_order())
@@ -159,7 +164,8 @@ def run(spark: SparkSession, filings: DataFrame, provider: Provider, out: str, r
         windows = E.windows(regions, E.window_paragraphs(regions, paras, seeds), duties)
         requests = keep("requests", windows.join(E.prompt_text(windows), "request_id"))
         payloads = keep("payloads", provider(requests))
-        found = extract(requests, payloads, duties)
+        faults = keep("payload_faults", K.payload_faults(payloads.select("request_id", "payload")))
+        found = extract(requests, payloads, duties, faults)
         stop(keep("refused", found.refused), "request refused", "violation")
         claims, spans = keep("claims", found.claims), keep("spans", seeds.unionByName(found.spans))
         coverage = keep("coverage_results", found.coverage)

@@ -59,8 +59,8 @@ def payload(quote="On March 5, 2014, Party A submitted a bid of $10.50."):
     common = {"confidence": "high"}
     return json.dumps({
         "actor_claims": [common | {"claim_type": "actor", "coverage_obligation_id": "a-b_obligation_6", "quote_text": "Buyer Group", "actor_label": "Buyer Group", "actor_kind": "group", "observability": "named"}],
-        "bid_claims": [common | {"claim_type": "bid", "coverage_obligation_id": "a-b_obligation_9", "quote_text": quote, "bidder_label": "Party A", "bid_date": "2014-03-05", "bid_value": 10.5, "bid_stage": "final"}],
-        "actor_relation_claims": [common | {"claim_type": "actor_relation", "coverage_obligation_id": "a-b_obligation_10", "quote_text": "Party A is a member of Buyer Group.", "subject_label": "Party A", "object_label": "Buyer Group", "relation_type": "member_of"}],
+        "bid_claims": [common | {"claim_type": "bid", "coverage_obligation_id": "a-b_obligation_9", "quote_text": quote, "bidder_label": "Party A", "bid_date": "2014-03-05", "bid_value": 10.5, "bid_value_lower": None, "bid_value_upper": None, "bid_value_unit": None, "consideration_type": None, "bid_stage": "final"}],
+        "actor_relation_claims": [common | {"claim_type": "actor_relation", "coverage_obligation_id": "a-b_obligation_10", "quote_text": "Party A is a member of Buyer Group.", "subject_label": "Party A", "object_label": "Buyer Group", "relation_type": "member_of", "role_detail": None, "effective_date_first": None}],
     })
 
 
@@ -89,6 +89,8 @@ def test_run_refuses_whole_requests(spark, filings, tmp_path):
     one = filings.where("deal_slug = 'a-b'")
     with pytest.raises(ValueError, match="quote_absent"):
         kernel.run(spark, one, provider(spark, payload("not there")), str(tmp_path / "a"), RUN)
+    with pytest.raises(ValueError, match="bad"):
+        kernel.run(spark, one, provider(spark, payload().replace('"group"', '"martian"')), str(tmp_path / "d"), RUN)
     with pytest.raises(ValueError, match="no claims"):
         kernel.run(spark, one, provider(spark, payload("not there")), str(tmp_path / "b"), RUN, "quarantine")
     with pytest.raises(ValueError, match="no background"):
@@ -136,3 +138,15 @@ def test_kernel(tmp_path):
     assert [json.loads(x)["shard_id"] for x in (tmp_path / "c" / "corpus_manifest.jsonl").read_text().splitlines()] == ["shard-0001", "shard-0001", "shard-0002"]
     with pytest.raises(FileExistsError):
         kernel.corpus_skeleton(str(tmp_path / "c"), RUN, ["a"], [])
+
+
+def test_request_schema_is_closed():
+    from claimloom.operators import contract
+
+    schema = json.loads(contract.request_schema())
+    assert not schema["additionalProperties"] and schema["required"] == list(contract.FIELDS)
+    for name, array in schema["properties"].items():
+        item = array["items"]
+        assert not item["additionalProperties"] and sorted(item["required"]) == sorted(item["properties"]) == sorted(contract.FIELDS[name])
+        assert item["properties"]["claim_type"]["enum"] == [name.removesuffix("_claims")]
+    assert schema["properties"]["event_claims"]["items"]["properties"]["actor_role"]["type"] == ["string", "null"]

@@ -69,14 +69,15 @@ def prefix(size: int, similarity: float) -> int:
 
 
 def _candidates(radius: int, similarity: float, nearest: bool):
-    """Pairs (a, b) of rows (grp, node, fp, n, bins, comp) that arrive sorted by grp: within the radius, of sizes and bins that allow the similarity, and of different comps.
+    """Pairs (a, b) of rows (grp, node, fp, n, bins, comp, side, before) that arrive sorted by grp: within the radius, of sizes and bins that allow the similarity, and of different comps.
 
-    With `nearest` each row gives at most one pair in its group, that with the nearest row before it.
+    Rows of one side, from zero on, meet in another group. Each row names in `before` its keys ahead of the group's:
+    two rows that share one of them meet there, so a pair is given once, however many keys it shares. With `nearest` each row gives at most one pair in its group, that with the nearest row before it.
     """
 
-    def pairs(groups: np.ndarray, nodes: np.ndarray, fps: np.ndarray, n: np.ndarray, bins: np.ndarray, comps: np.ndarray) -> pa.RecordBatch:
+    def pairs(groups: np.ndarray, nodes: np.ndarray, fps: np.ndarray, n: np.ndarray, bins: np.ndarray, comps: np.ndarray, sides: np.ndarray, before: np.ndarray, many: np.ndarray) -> pa.RecordBatch:
         x, y = close_pairs(groups, fps, radius)
-        keep = (comps[x] != comps[y]) & (np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-9)
+        keep = (comps[x] != comps[y]) & ((sides[x] < 0) | (sides[x] != sides[y])) & (np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y]) - 1e-9)
         x, y = x[keep], y[keep]
         alike = np.zeros(len(x))
         for i in range(0, len(x), 1 << 14):
@@ -88,6 +89,13 @@ def _candidates(radius: int, similarity: float, nearest: bool):
             alike[i : i + (1 << 14)] = np.where(share >= similarity - SURE * spread - 0.02, share, -1)
         keep = alike >= 0
         x, y, alike = x[keep], y[keep], alike[keep]
+        fresh = np.ones(len(x), "?")
+        for i in range(0, len(x), 1 << 14):
+            a, b = x[i : i + (1 << 14)], y[i : i + (1 << 14)]
+            for k in range(int(many[a].max())):
+                met = (before[b] == before[a, k][:, None]) & (np.arange(KEYS) < many[b][:, None])
+                fresh[i : i + (1 << 14)] &= ~(met.any(1) & (k < many[a]))
+        x, y, alike = x[fresh], y[fresh], alike[fresh]
         if nearest and len(x):
             x, y = np.where(nodes[x] < nodes[y], x, y), np.where(nodes[x] < nodes[y], y, x)
             order = np.lexsort((nodes[x], -alike, y))
@@ -111,7 +119,11 @@ def _candidates(radius: int, similarity: float, nearest: bool):
         for batch in batches:
             cols = [batch.column(c).to_numpy() for c in ("grp", "node", "fp", "n")]
             cols[2] = cols[2].view("u8")
-            cols += [np.frombuffer(b"".join(batch.column("bins").to_pylist()), "u1").reshape(-1, BINS), batch.column("comp").to_numpy()]
+            cols += [np.frombuffer(b"".join(batch.column("bins").to_pylist()), "u1").reshape(-1, BINS), batch.column("comp").to_numpy(), batch.column("side").to_numpy()]
+            many = batch.column("before").value_lengths().to_numpy()
+            before = np.zeros((len(many), KEYS), "i8")
+            before[np.arange(KEYS) < many[:, None]] = batch.column("before").flatten().to_numpy()
+            cols += [before, many]
             held = cols if held is None else [np.concatenate(x) for x in zip(held, cols)]
             whole = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0  # the last group may go on
             if whole >= 20_000:
@@ -170,16 +182,16 @@ def similar_sets(rows: DataFrame, sketches: DataFrame, width: int, similarity: f
     # Each key's rows in tiles that are compared within themselves; tiles differ from key to key, so that groups join over them.
     few = distinct.select("node", "fp", "n", "bins", F.explode(F.slice("keys", 1, FIRST)).alias("key"))
     sizes = kept(few.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1"), "sizes")
-    tiled = few.join(sizes, "key").select(F.xxhash64("key", F.pmod(F.xxhash64("node", "key"), cut)).alias("grp"), "node", "fp", "n", "bins", F.col("node").alias("comp"))
+    tiled = few.join(sizes, "key").select(F.xxhash64("key", F.pmod(F.xxhash64("node", "key"), cut)).alias("grp"), "node", "fp", "n", "bins", F.col("node").alias("comp"), F.lit(-1).alias("side"), F.array().cast("array<bigint>").alias("before"))
     joined = verified(near(tiled, True), distinct, rows, width, similarity)
     group = components(joined).withColumnRenamed("node", "linked")
     # What is still apart: keys that more than one group has, all tiles against all.
     named = kept(distinct.join(group, F.col("node") == F.col("linked"), "left").select("node", "fp", "n", "bins", "keys", F.coalesce("root", "node").alias("comp")), "joined")
-    keyed = named.select("node", "fp", "n", "bins", "comp", F.explode("keys").alias("key"))
+    keyed = named.select("node", "fp", "n", "bins", "comp", "keys", F.posexplode("keys").alias("at", "key")).withColumn("before", F.slice("keys", F.lit(1), F.col("at"))).drop("keys", "at")
     open_ = kept(keyed.groupBy("key").agg(F.count("*").alias("rows"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key", "rows"), "open")
     tiled = keyed.join(open_, "key").withColumn("cut", cut).withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), F.col("cut")).cast("int"))
-    paired = tiled.select("key", "node", "fp", "n", "bins", "comp", "tile", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("other"))
-    grouped = paired.select(F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")).alias("grp"), "node", "fp", "n", "bins", "comp")
+    paired = tiled.select("key", "node", "fp", "n", "bins", "comp", "before", "tile", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("other"))
+    grouped = paired.select(F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")).alias("grp"), "node", "fp", "n", "bins", "comp", F.when(F.col("tile") == F.col("other"), -1).otherwise(F.col("tile")).alias("side"), "before")
     return joined.unionByName(verified(near(grouped, False), distinct, rows, width, similarity))
 
 

@@ -60,3 +60,24 @@ def test_rows_of_one_id_or_none(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     kept = corpus_pipeline.near_copies(spark, docs, "").collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(5, a), (0, b), (6, c), (8, "")])
+
+
+@pytest.mark.parametrize("tile_rows", [2048, 4])
+def test_open_pairs_come_once(spark, monkeypatch, tile_rows):
+    """Texts near the threshold share many keys and stay apart after the first round: each of their pairs is given once."""
+    rng, base = random.Random(3), [f"w{i}" for i in range(200)]
+    texts = []
+    for _ in range(40):
+        copy = list(base)
+        for _ in range(3):
+            copy[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    given, real = [], N.verified
+
+    def watched(pairs, *rest):
+        given.append((pairs.count(), pairs.distinct().count()))
+        return real(pairs, *rest)
+
+    monkeypatch.setattr(N, "verified", watched)
+    N.keep_one(spark.createDataFrame(list(enumerate(texts)), SCHEMA), tile_rows=tile_rows)
+    assert given[1][0] == given[1][1] > 40

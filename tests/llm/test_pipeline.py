@@ -1,8 +1,11 @@
 """The stages on a small table, and the registration."""
 
+import pytest
+
 import __spark_entry__
 import corpus_pipeline
 from claimloom.llm import queries
+from tests.oracle import connect, same
 
 SF = "/root/testdata/sf0.001"
 
@@ -10,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 def test_registered():
     names = __spark_entry__.queries()
     assert set(queries.QUERIES) <= set(names) and "pipeline" in names and "pipeline" not in __spark_entry__.oracle_sql()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark):
@@ -26,7 +29,6 @@ def test_stages(spark):
     assert max(sizes) <= 2048
 
 
-def test_warc_oracle(spark):
-    from tests.oracle import connect, same
-
-    same(queries.QUERIES["op6_warc_revisits"](spark, SF), connect(SF), queries.ORACLE_SQL["op6_warc_revisits"])
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_oracle(spark, name):
+    same(queries.QUERIES[name](spark, SF), connect(SF), queries.ORACLE_SQL[name])

@@ -48,18 +48,54 @@ def flatten(parsed: DataFrame, ident: str = "request_id") -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def word_pairs(words: Column) -> Column:
+    """The distinct hashes of each two words that follow one another."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.array_distinct(F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.xxhash64(a, b)))
+
+
+def quote_anchors(claims: DataFrame, paragraphs: DataFrame, window: str = "window_id") -> DataFrame:
+    """(window, claim_key, pair): the rarest pair of words of each quote that has any and may stand in its window.
+
+    A quote's first and last word may be cut from longer ones, so only the words between them count. How rare a pair
+    is follows from one count over the window's paragraphs, of pairs that some quote has; a quote with a pair that
+    no paragraph has is left out, as it can't stand there.
+    """
+    words = F.split("quote_text", " ")
+    inner = F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
+    asked = claims.select(window, "claim_key", F.explode(word_pairs(inner)).alias("pair"))
+    held = paragraphs.select(window, F.explode(word_pairs(F.split("paragraph_text", " "))).alias("pair"))
+    counts = held.join(asked.select(window, "pair").distinct(), [window, "pair"], "left_semi").groupBy(window, "pair").agg(F.count("*").alias("n"))
+    rarity = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "pair")
+    rarest = asked.join(counts, [window, "pair"], "left").groupBy(window, "claim_key").agg(F.min(rarity).alias("rarest"))
+    return rarest.where("rarest.n > 0").select(window, "claim_key", "rarest.pair")
+
+
 def bind_quotes(claims: DataFrame, paragraphs: DataFrame, window: str = "window_id") -> DataFrame:
     """(claim_key, hits, paragraph_id, char_start, char_end): where each claim's quote stands in its window.
 
     `claims` has claim_key, the window and quote_text, `paragraphs` the window, paragraph_id, char_start and
     paragraph_text. A quote binds if it occurs exactly once over the window, overlapping places counted; with 0 or
-    2 or more hits the place is null. The join is on the window, so text is searched only where it may stand.
+    2 or more hits the place is null. Null and empty quotes have no hits.
+
+    An inverted index finds where to look: each quote is anchored by its rarest pair of words, and only paragraphs
+    of its window that hold the pair are searched for it. Quotes of fewer than four words have no whole pair; they
+    are looked for in all paragraphs of their window.
     """
-    pairs = claims.join(paragraphs, window, "left")
+    asked = claims.select(window, "claim_key", "quote_text").where("quote_text <> ''")
+    anchors = quote_anchors(asked, paragraphs, window)
+    pairs = paragraphs.select(window, "paragraph_id", F.explode(word_pairs(F.split("paragraph_text", " "))).alias("pair"))
+    may = pairs.join(anchors, [window, "pair"]).select(window, "claim_key", "paragraph_id").distinct()
+    anchored = may.join(asked, [window, "claim_key"]).join(paragraphs, [window, "paragraph_id"])
+    short = asked.where(F.size(F.split("quote_text", " ")) < 4).join(paragraphs.select(window, "paragraph_id", "char_start", "paragraph_text"), window)
+    columns = ["claim_key", "quote_text", "paragraph_id", "char_start", "paragraph_text"]
+    looked = anchored.select(*columns).unionByName(short.select(*columns))
     at = F.call_function("instr", F.col("paragraph_text"), F.col("quote_text"))
     n = F.coalesce(X.occurrences(F.col("paragraph_text"), F.col("quote_text")), F.lit(0))
     place = F.struct("paragraph_id", (F.col("char_start") + at - 1).alias("start"))
-    found = pairs.groupBy("claim_key").agg(F.sum(n).cast("int").alias("hits"), F.min(F.when(n > 0, place)).alias("place"), F.first(F.length("quote_text")).alias("size"))
+    hits = looked.select("claim_key", n.alias("n"), F.when(n > 0, place).alias("place"), F.length("quote_text").alias("size")).where("n > 0")
+    none = claims.select("claim_key", F.lit(0).alias("n"), F.lit(None).cast(hits.schema["place"].dataType).alias("place"), F.lit(None).cast("int").alias("size"))
+    found = hits.unionByName(none).groupBy("claim_key").agg(F.sum("n").cast("int").alias("hits"), F.min("place").alias("place"), F.max("size").alias("size"))
     one = F.col("hits") == 1
     return found.select("claim_key", "hits", F.when(one, F.col("place.paragraph_id")).alias("paragraph_id"), F.when(one, F.col("place.start")).alias("char_start"), F.when(one, F.col("place.start") + F.col("size")).alias("char_end"))
 

@@ -92,8 +92,10 @@ def _quotes(s, d):
     """Every benchmark text as a quote of every window, which is a block of 1,000 documents: the query set in blocks against all rows."""
     docs = A.table(s, d, "documents")
     quotes = A.table(s, d, "benchmark").select(F.col("item_id"), F.col("text").alias("quote_text"))
-    windows = docs.select(F.floor(F.col("doc_id") / 1000).alias("window_id")).distinct()
-    asked = windows.join(quotes).select("window_id", F.concat_ws(":", F.col("window_id").cast("string"), F.col("item_id").cast("string")).alias("claim_key"), "quote_text")
+    # Windows by quotes is what is asked; dealt by a key, it is made by as many tasks as there are cores.
+    deal = F.pmod("window_id", F.lit(64)).cast("int")
+    windows = docs.select(F.floor(F.col("doc_id") / 1000).alias("window_id")).distinct().withColumn("deal", deal)
+    asked = windows.join(quotes.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(63)))), "deal").select("window_id", F.concat_ws(":", F.col("window_id").cast("string"), F.col("item_id").cast("string")).alias("claim_key"), "quote_text")
     paras = docs.select(F.floor(F.col("doc_id") / 1000).alias("window_id"), F.col("doc_id").alias("paragraph_id"), F.lit(0).alias("char_start"), F.col("text").alias("paragraph_text"))
     return C.bind_quotes(asked, paras)
 

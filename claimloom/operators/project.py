@@ -4,25 +4,30 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions import text as X
 from claimloom.functions import vocabulary as V
+from claimloom.functions.ids import in_ranges, placed
+from claimloom.operators.reconcile import CANONICAL
+from claimloom.sources.shared import stored
 
 
-def bidder_rows(events: DataFrame, links: DataFrame, actors: DataFrame, name: str = V.PROJECTION_NAME) -> DataFrame:
-    """Each actor's least and greatest bids in a cycle, numbered in the order of slug, cycle and actor.
-
-    Only bids by submitters or offerors count, of actors of the known kinds with a label that names someone. The
-    numbering is one sequence over the result, which is small: it runs after the aggregation.
-    """
+def bids_of_actors(events: DataFrame, links: DataFrame, actors: DataFrame) -> DataFrame:
+    """Each actor's least and greatest bids in a cycle: by submitters or offerors, of the known kinds, with a label that names someone."""
     bids = events.where("event_type = 'bid'").select("deal_slug", "event_id", "cycle_id", "bid_value", "bid_value_lower", "bid_value_upper")
     roles = links.where(F.col("role").isin(V.PROJECTION_ROLES)).select("event_id", "actor_id")
     who = actors.where(F.col("observability").isin(V.PROJECTION_OBSERVABILITY) & F.col("kind").isin(V.PROJECTION_KINDS) & ~X.is_generic_label(F.col("label"))).select("actor_id", "label", "observability")
     grouped = bids.join(roles, "event_id").join(who, "actor_id").groupBy("deal_slug", "cycle_id", "actor_id", "label", "observability")
-    found = grouped.agg(F.min("bid_value").alias("bI"), F.min("bid_value_lower").alias("bI_lo"), F.max("bid_value_upper").alias("bI_hi"), F.max("bid_value").alias("bF"), (F.count("*") > 0).alias("has_bid"))
-    n = F.row_number().over(Window.orderBy("deal_slug", "cycle_id", "actor_id")).cast("string")
+    return grouped.agg(F.min("bid_value").alias("bI"), F.min("bid_value_lower").alias("bI_lo"), F.max("bid_value_upper").alias("bI_hi"), F.max("bid_value").alias("bF"), (F.count("*") > 0).alias("has_bid"))
+
+
+def bidder_rows(events: DataFrame, links: DataFrame, actors: DataFrame, name: str = V.PROJECTION_NAME) -> DataFrame:
+    """bids_of_actors numbered over all deals in the order of slug, cycle and actor; they are stored in ranges of it, and numbered range by range."""
+    order = ["deal_slug", "cycle_id", "actor_id"]
+    found = placed(stored(in_ranges(bids_of_actors(events, links, actors), order), "bids"), order)
+    n = F.col("place").cast("string")
     return found.select(
         F.concat(F.lit("bidderrow_"), n).alias("bidder_row_id"), F.concat(F.lit("projectionunit_"), n).alias("unit_id"), F.concat(F.lit("projectionjudgment_"), n).alias("judgment_id"),
         F.lit(name).alias("projection_name"), "deal_slug", "cycle_id", "actor_id", F.col("label").alias("actor_label"), "bI", "bI_lo", "bI_hi", "bF", "has_bid",
@@ -37,26 +42,22 @@ def projection_judgments(rows: DataFrame) -> DataFrame:
     return rows.select("judgment_id", "unit_id", F.col("has_bid").alias("included"), F.lit(V.PROJECTION_RULE).alias("rule_id"), F.when(F.col("has_bid"), "source-backed bid in cycle").otherwise("no source-backed bid in cycle").alias("reason"))
 
 
+def tagged(tables: dict[str, DataFrame], *columns: str) -> DataFrame:
+    """The rows of all tables as one: table_name and the given columns."""
+    return reduce(DataFrame.unionByName, (df.select(F.lit(name).alias("table_name"), *columns) for name, df in tables.items()))
+
+
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, n) of each table in one pass over all."""
-    return reduce(DataFrame.unionByName, (df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n") for name, df in tables.items()))
+    """(table_name, n) of each table, an empty one's too: one aggregation over the rows of all."""
+    spark = next(iter(tables.values())).sparkSession
+    none = spark.createDataFrame([(name, 0) for name in tables], "table_name string, one long")
+    return tagged(tables).withColumn("one", F.lit(1).cast("long")).unionByName(none).groupBy("table_name").agg(F.sum("one").alias("n"))
 
 
 def group_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
 
 
-def insufficient_obligations(obligations: DataFrame, results: DataFrame) -> DataFrame:
-    """The number of current required or important obligations that no current result meets."""
-    now = results.where("current").select("obligation_id", "result")
-    wanted = obligations.where("current and importance in ('required', 'important')").join(now, "obligation_id", "left")
-    return wanted.where("result is null or result <> 'claims_emitted'").agg(F.count_distinct("obligation_id").alias("n"))
-
-
-def undisposed(claims: DataFrame, dispositions: DataFrame) -> DataFrame:
-    return claims.join(dispositions.where("current").select("claim_id"), "claim_id", "left_anti").agg(F.count("*").alias("n"))
-
-
 def verdict(live: Column, obligations: Column, insufficient: Column, undisposed_: Column, unevidenced: Column, bidder_rows_: Column, actors: Column, events: Column, failures: Column) -> Column:
     """SOUND, SUSPECT, BLOCKED or UNSOUND from the counts of a run."""
     blocked = (bidder_rows_ == 0) | (actors == 0) | (events == 0)
@@ -64,19 +65,46 @@ def verdict(live: Column, obligations: Column, insufficient: Column, undisposed_
     return F.when(blocked, "BLOCKED").when(failures > 0, "UNSOUND").when(suspect, "SUSPECT").otherwise("SOUND")
 
 
-def proof(counts: dict[str, DataFrame]) -> DataFrame:
-    """One row: each named count (a one-row DataFrame with n) and the verdict."""
-    one = reduce(DataFrame.crossJoin, (df.select(F.col("n").alias(name)) for name, df in counts.items()))  # one row each
+def facts(claims: DataFrame, obligations: DataFrame, results: DataFrame, dispositions: DataFrame, canonical: dict[str, DataFrame], row_evidence: DataFrame, bidders: DataFrame, failures: DataFrame) -> DataFrame:
+    """What a proof counts, as one table of (family, key, table_name, own, wanted, met, unmet).
+
+    A key's own row says that it is there and whether it wants something; other rows of the same family and key say
+    that a want is met, or that it isn't.
+    """
+    none = F.lit(None).cast("string")
+
+    def rows(df: DataFrame, family: str, key: Column, table: str | None = None, wanted=F.lit(True), met=F.lit(False), unmet=F.lit(False)) -> DataFrame:
+        own = F.lit(table is not None)
+        return df.select(F.lit(family).alias("family"), key.alias("key"), (F.lit(table) if table else none).alias("table_name"), own.alias("own"), (own & wanted).alias("wanted"), met.alias("met"), unmet.alias("unmet"))
+
+    emitted = F.coalesce(F.col("result") == "claims_emitted", F.lit(False))
+    parts = [
+        rows(claims, "claim", F.col("claim_id"), "claims"), rows(dispositions.where("current"), "claim", F.col("claim_id"), met=F.lit(True)),
+        rows(obligations, "duty", F.col("obligation_id"), "obligations", wanted=F.coalesce(F.expr("current and importance in ('required', 'important')"), F.lit(False))), rows(results.where("current"), "duty", F.col("obligation_id"), met=emitted, unmet=~emitted),
+        *(rows(df, "row", F.concat_ws("/", F.lit(name), F.col(CANONICAL[name])), name) for name, df in canonical.items()), rows(row_evidence, "row", F.concat_ws("/", "row_table", "row_id"), met=F.lit(True)),
+        rows(bidders, "bidder", none, "bidder_rows"), rows(failures, "failure", none, "failures"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def proof(facts_: DataFrame) -> DataFrame:
+    """One row of counts and the verdict: facts are summed by key, and what wants without being met is counted."""
+    some = lambda col: F.count_if(F.col(col))
+    keys = facts_.groupBy("family", "key").agg(F.max("table_name").alias("table_name"), some("own").alias("n"), some("wanted").alias("wanted"), some("met").alias("met"), some("unmet").alias("unmet"))
     c = F.col
-    return one.withColumn("verdict", verdict(c("live_claims"), c("obligations"), c("insufficient"), c("undisposed"), c("unevidenced"), c("bidder_rows"), c("actors"), c("events"), c("failures")))
+    total = lambda what, name: F.coalesce(F.sum(F.when(what, c("n"))), F.lit(0)).alias(name)
+    lacking = (c("met") == 0) | (c("unmet") > 0)
+    one = keys.agg(
+        total(c("family") == "claim", "live_claims"), total(c("family") == "duty", "obligations"), F.count_if((c("family") == "duty") & (c("wanted") > 0) & lacking).alias("insufficient"), total((c("family") == "claim") & (c("met") == 0), "undisposed"),
+        total((c("family") == "row") & (c("met") == 0), "unevidenced"), total(c("table_name") == "bidder_rows", "bidder_rows"), total(c("table_name") == "actors", "actors"), total(c("table_name") == "events", "events"), total(c("table_name") == "failures", "failures"),
+    )
+    return one.withColumn("verdict", verdict(*map(c, ("live_claims", "obligations", "insufficient", "undisposed", "unevidenced", "bidder_rows", "actors", "events", "failures"))))
 
 
 def deal_summaries(deals: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Each deal's number of rows in every table, zero included; tables are counted before they are joined."""
-    out = deals.select("deal_slug")
-    for name, df in tables.items():
-        out = out.join(df.groupBy("deal_slug").agg(F.count("*").alias(name)), "deal_slug", "left").withColumn(name, F.coalesce(name, F.lit(0)))
-    return out
+    """Each deal's number of rows in every table, zero included: one aggregation over the rows of all tables."""
+    every = tagged({"deals": deals, **tables}, "deal_slug").groupBy("deal_slug").agg(*(F.count_if(F.col("table_name") == name).alias(name) for name in ("deals", *tables)))
+    return every.where("deals > 0").drop("deals")
 
 
 def coverage_export(obligations: DataFrame, results: DataFrame) -> DataFrame:
@@ -140,6 +168,6 @@ def cost_envelope(metrics: DataFrame, input_price: float = 0.0, output_price: fl
 
 
 def shard_plan(slugs: DataFrame, size: int) -> DataFrame:
-    """(deal_slug, source_order, shard_id): runs of `size` slugs in order. One row a slug, so one sequence is small."""
-    n = F.row_number().over(Window.orderBy("deal_slug"))
-    return slugs.select("deal_slug").distinct().withColumn("source_order", n).withColumn("shard_id", F.format_string("shard-%04d", (F.floor((F.col("source_order") - 1) / size) + 1).cast("int")))
+    """(deal_slug, source_order, shard_id): runs of `size` slugs in order, numbered range by range."""
+    found = placed(stored(in_ranges(slugs.select("deal_slug").distinct(), ["deal_slug"]), "slugs"), ["deal_slug"])
+    return found.select("deal_slug", F.col("place").cast("int").alias("source_order"), F.format_string("shard-%04d", (F.floor((F.col("place") - 1) / size) + 1).cast("int")).alias("shard_id"))

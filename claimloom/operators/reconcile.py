@@ -7,6 +7,7 @@ A slug's claims are taken in the order of (claim_sequence, claim_id); every iden
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,14 +24,21 @@ def first_evidence(links: DataFrame) -> DataFrame:
     return links.groupBy("claim_id").agg(F.min_by("evidence_id", "ordinal").alias("evidence_id"))
 
 
-def target_labels(claims: DataFrame) -> DataFrame:
-    """(deal_slug, label, evidence_id): the first actor claim that holds the slug's first word, else the slug's words with capitals."""
+def _target() -> list[Column]:
+    """Aggregates of a slug's claims: `named`, the first actor claim's words that hold the slug's first word, and `evidence_id`, the first claim's."""
     word = F.lower(F.element_at(F.split("deal_slug", "-"), 1))
     hit = (F.col("claim_type") == "actor") & F.contains(F.lower("raw_value"), word)
     order = F.struct(*ORDER)
-    found = claims.groupBy("deal_slug").agg(F.min_by("raw_value", F.when(hit, order)).alias("named"), F.min_by("evidence_id", order).alias("evidence_id"))
-    plain = F.initcap(F.replace(F.col("deal_slug"), F.lit("-"), F.lit(" ")))
-    return found.select("deal_slug", F.coalesce(X.canonical_label(F.col("named")), plain).alias("label"), "evidence_id")
+    return [F.min_by("raw_value", F.when(hit, order)).alias("named"), F.min_by("evidence_id", order).alias("evidence_id")]
+
+
+def _target_label() -> Column:
+    return F.coalesce(X.canonical_label(F.col("named")), F.initcap(F.replace(F.col("deal_slug"), F.lit("-"), F.lit(" "))))
+
+
+def target_labels(claims: DataFrame) -> DataFrame:
+    """(deal_slug, label, evidence_id): the first actor claim that holds the slug's first word, else the slug's words with capitals."""
+    return claims.groupBy("deal_slug").agg(*_target()).select("deal_slug", _target_label().alias("label"), "evidence_id")
 
 
 def usable(claims: DataFrame) -> Column:
@@ -40,17 +48,18 @@ def usable(claims: DataFrame) -> Column:
 def mentions(claims: DataFrame) -> DataFrame:
     """(deal_slug, label, claim_id, claim_sequence, ordinal, kind, observability, evidence_id): every label that needs an actor, the target first."""
     c = F.col
-    fixed = (F.lit("organization").alias("kind"), F.lit("named").alias("observability"))
-    take = lambda where, label, ordinal, kinds: claims.where(usable(claims) & where).select("deal_slug", X.canonical_label(c(label)).alias("label"), "claim_id", "claim_sequence", F.lit(ordinal).alias("ordinal"), *kinds, "evidence_id")
-    parts = [
-        target_labels(claims).select("deal_slug", "label", F.lit("").alias("claim_id"), F.lit(0).alias("claim_sequence"), F.lit(0).alias("ordinal"), *fixed, "evidence_id"),
-        take(c("claim_type") == "actor", "actor_label", 0, (c("actor_kind").alias("kind"), "observability")),
-        take((c("claim_type") == "event") & linked_event(), "event_actor_label", 0, fixed),
-        take((c("claim_type") == "bid") & ~X.is_generic_label(c("bidder_label")), "bidder_label", 0, fixed),
-        take(c("claim_type") == "actor_relation", "subject_label", 0, fixed),
-        take(c("claim_type") == "actor_relation", "object_label", 1, fixed),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    named = lambda label, ordinal, kind=F.lit("organization"), seen=F.lit("named"): F.struct(X.canonical_label(c(label)).alias("label"), F.lit(ordinal).alias("ordinal"), kind.alias("kind"), seen.alias("observability"))
+    own = F.array_compact(F.array(
+        F.when(c("claim_type") == "actor", named("actor_label", 0, c("actor_kind"), c("observability"))),
+        F.when((c("claim_type") == "event") & linked_event(), named("event_actor_label", 0)),
+        F.when((c("claim_type") == "bid") & ~X.is_generic_label(c("bidder_label")), named("bidder_label", 0)),
+        F.when(c("claim_type") == "actor_relation", named("subject_label", 0)),
+        F.when(c("claim_type") == "actor_relation", named("object_label", 1)),
+    ))
+    columns = ["deal_slug", "label", "claim_id", "claim_sequence", "ordinal", "kind", "observability", "evidence_id"]
+    made = claims.where(usable(claims)).select("deal_slug", "claim_id", "claim_sequence", "evidence_id", F.explode(own).alias("m")).select("*", "m.*").select(*columns)
+    target = target_labels(claims).select("deal_slug", "label", F.lit("").alias("claim_id"), F.lit(0).alias("claim_sequence"), F.lit(0).alias("ordinal"), F.lit("organization").alias("kind"), F.lit("named").alias("observability"), "evidence_id")
+    return target.unionByName(made)
 
 
 def linked_event() -> Column:
@@ -64,22 +73,19 @@ def actors(claims: DataFrame) -> DataFrame:
     return numbered(first, "actor", order, "actor_id").select("deal_slug", "actor_id", "label", "kind", "observability", "evidence_id", "claim_id", "ordinal")
 
 
-def _actor_ids(actors_: DataFrame, name: str) -> DataFrame:
-    return actors_.select("deal_slug", F.col("label").alias(f"{name}_label_key"), F.col("actor_id").alias(name))
-
-
-def with_actor(df: DataFrame, label: str, actors_: DataFrame, name: str) -> DataFrame:
-    """df with the id of the actor that a label stands for."""
-    keyed = df.withColumn(f"{name}_label_key", X.canonical_label(F.col(label)))
-    return keyed.join(_actor_ids(actors_, name), ["deal_slug", f"{name}_label_key"], "left").drop(f"{name}_label_key")
+def with_actor(df: DataFrame, label: str, actors_: DataFrame, name: str, **more: str) -> DataFrame:
+    """df with the id of the actor that a label stands for, and more of the actor's columns (new name = column)."""
+    keyed, key = df.withColumn(f"{name}_label_key", X.canonical_label(F.col(label))), f"{name}_label_key"
+    who = actors_.select("deal_slug", F.col("label").alias(key), F.col("actor_id").alias(name), *(F.col(v).alias(k) for k, v in more.items()))
+    return keyed.join(who, ["deal_slug", key], "left").drop(key)
 
 
 def deals(claims: DataFrame) -> DataFrame:
     """One deal and one cycle for each slug, with its target actor and the latest event or bid date."""
-    dates = claims.where(usable(claims)).select("deal_slug", F.when(F.col("claim_type") == "event", F.col("event_date")).when(F.col("claim_type") == "bid", F.col("bid_date")).alias("day"))
-    bounds = dates.groupBy("deal_slug").agg(F.min("day").alias("start_date"), F.max("day").alias("end_date"))
+    day = F.when(usable(claims), F.when(F.col("claim_type") == "event", F.col("event_date")).when(F.col("claim_type") == "bid", F.col("bid_date")))
     slug = F.col("deal_slug")
-    return target_labels(claims).join(bounds, "deal_slug").select(
+    found = claims.groupBy("deal_slug").agg(*_target(), F.min(day).alias("start_date"), F.max(day).alias("end_date"))
+    return found.withColumn("label", _target_label()).select(
         "deal_slug", make_id(slug, "deal", F.lit(1)).alias("deal_id"), make_id(slug, "cycle", F.lit(1)).alias("cycle_id"), make_id(slug, "actor", F.lit(1)).alias("target_actor_id"),
         F.col("label").alias("target_label"), "start_date", "end_date", F.col("end_date").alias("announcement_date"), "evidence_id",
     )
@@ -128,12 +134,11 @@ def dispositions(claims: DataFrame, actors_: DataFrame, events_: DataFrame, coun
         .unionByName(counts.select("claim_id", F.lit("participation_counts").alias("canonical_table"), F.col("participation_count_id").alias("canonical_id")))
         .unionByName(relations_.select("claim_id", F.lit("actor_relations").alias("canonical_table"), F.col("relation_id").alias("canonical_id")))
     )
-    firsts = actors_.where("ordinal = 0").select(F.col("deal_slug").alias("first_slug"), F.col("claim_id").alias("first_claim"), F.col("actor_id").alias("first_actor"))
-    rows = with_actor(claims.withColumn("typed", usable(claims)), "actor_label", actors_, "actor_id").join(made, "claim_id", "left")
-    rows = rows.join(firsts, (c("deal_slug") == c("first_slug")) & (c("claim_id") == c("first_claim")) & (c("actor_id") == c("first_actor")), "left")
+    rows = with_actor(claims.withColumn("typed", usable(claims)), "actor_label", actors_, "actor_id", first_claim="claim_id", first_ordinal="ordinal").join(made, "claim_id", "left")
+    own = F.coalesce((c("first_claim") == c("claim_id")) & (c("first_ordinal") == 0), F.lit(False))
     known = kind.isin("actor", "event", "bid", "participation_count", "actor_relation")
     generic = (kind == "bid") & X.is_generic_label(c("bidder_label"))
-    what = F.when(~known, "out_of_scope").when(~c("typed"), "rejected").when(generic, "rejected").when((kind == "actor") & c("first_claim").isNull(), "merged_duplicate").otherwise("canonicalized")
+    what = F.when(~known, "out_of_scope").when(~c("typed"), "rejected").when(generic, "rejected").when((kind == "actor") & ~own, "merged_duplicate").otherwise("canonicalized")
     why = (
         F.when(~known, "unsupported_claim_type")
         .when(~c("typed"), F.concat(F.lit("missing_"), kind, F.lit("_claim")))
@@ -161,9 +166,13 @@ def row_evidence(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def reconcile(claims: DataFrame) -> dict[str, DataFrame]:
-    """All canonical tables of the claims. A slug without claims has none, so a run must not go on with it."""
-    acts, evs, counts = actors(claims), events(claims), participation_counts(claims)
-    rels, deals_ = relations(claims, acts), deals(claims)
-    out = {"deals": deals_, "process_cycles": deals_, "actors": acts, "actor_relations": rels, "events": evs, "event_actor_links": event_links(evs, acts), "participation_counts": counts}
+def reconcile(claims: DataFrame, keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df) -> dict[str, DataFrame]:
+    """All canonical tables of the claims. A slug without claims has none, so a run must not go on with it.
+
+    `keep` may store a table under its name and give what reads it; later tables are then made from the stored ones,
+    and whatever takes several of them need not make the graph again for each.
+    """
+    acts, evs, counts = keep("actors", actors(claims)), keep("events", events(claims)), keep("participation_counts", participation_counts(claims))
+    rels, deals_, links = keep("actor_relations", relations(claims, acts)), keep("deals", deals(claims)), keep("event_actor_links", event_links(evs, acts))
+    out = {"deals": deals_, "process_cycles": deals_, "actors": acts, "actor_relations": rels, "events": evs, "event_actor_links": links, "participation_counts": counts}
     return out | {"row_evidence": row_evidence(out), "claim_dispositions": dispositions(claims, acts, evs, counts, rels)}

@@ -14,6 +14,7 @@ from claimloom.operators import project as P
 from claimloom.operators import reconcile as R
 from claimloom.operators import validate as Q
 from claimloom.plans import adaptors as A
+from claimloom.sources.shared import stored
 
 c = F.col
 
@@ -80,10 +81,21 @@ def _graph(s, d):
     return claims, R.reconcile(claims)
 
 
+def _stored_graph(s, d):
+    """Claims and graph as stored tables, for queries that take many of them."""
+    claims = stored(A.claims(s, d), "claims")
+    g = R.reconcile(claims, lambda name, df: stored(df, name))
+    return claims, g | {name: stored(g[name], name) for name in ("claim_dispositions", "row_evidence")}
+
+
 def _bidders(g):
     return P.bidder_rows(g["events"], g["event_actor_links"], g["actors"])
 
 
+def _bids(g):
+    return P.bids_of_actors(g["events"], g["event_actor_links"], g["actors"])
+
+
 def bidder_rows(s, d):
     """Least and greatest bids of each actor: the flagship projection."""
     claims = A.claims(s, d)
@@ -248,7 +260,7 @@ def soft_flags(s, d):
 
 
 def _counts(s, d):
-    claims, g = _graph(s, d)
+    claims, g = _stored_graph(s, d)
     duties = A.user_obligations(claims)
     linked = A.linked_claims(claims)
     results = C.coverage_results(duties, linked)
@@ -258,18 +270,13 @@ def _counts(s, d):
 def proof_row_counts(s, d):
     claims, _, g, duties, results = _counts(s, d)
     names = ["claim_dispositions", "deals", "actors", "actor_relations", "events", "event_actor_links", "participation_counts"]
-    return P.row_counts({"claims": claims, "coverage_obligations": duties, "coverage_results": results, **{n: g[n] for n in names}, "bidder_rows": _bidders(g)})
+    return P.row_counts({"claims": claims, "coverage_obligations": duties, "coverage_results": results, **{n: g[n] for n in names}, "bidder_rows": _bids(g)})
 
 
 def proof_verdict(s, d):
     claims, linked, g, duties, results = _counts(s, d)
-    one = lambda df: df.agg(F.count("*").alias("n"))
     failures = Q.exactly_one(claims.select("claim_id"), g["claim_dispositions"], "claim_id", "claim_disposition", "claims", "disposition")
-    unevidenced = Q.canonical_without_evidence({n: g[n] for n in R.CANONICAL}, g["row_evidence"])
-    return P.proof({
-        "live_claims": one(claims), "obligations": one(duties), "insufficient": P.insufficient_obligations(duties, results), "undisposed": P.undisposed(claims, g["claim_dispositions"]),
-        "unevidenced": one(unevidenced), "bidder_rows": one(_bidders(g)), "actors": one(g["actors"]), "events": one(g["events"]), "failures": one(failures),
-    })
+    return P.proof(P.facts(claims, duties, results, g["claim_dispositions"], {n: g[n] for n in R.CANONICAL}, g["row_evidence"], _bids(g), failures))
 
 
 def group_counts(s, d):
@@ -279,12 +286,14 @@ def group_counts(s, d):
 
 
 def deal_summaries(s, d):
-    claims, g = _graph(s, d)
-    return P.deal_summaries(g["deals"], {"claims": claims, "actors": g["actors"], "events": g["events"], "event_actor_links": g["event_actor_links"], "actor_relations": g["actor_relations"], "participation_counts": g["participation_counts"], "bidder_rows": _bidders(g)})
+    claims, g = _stored_graph(s, d)
+    return P.deal_summaries(g["deals"], {"claims": claims, "actors": g["actors"], "events": g["events"], "event_actor_links": g["event_actor_links"], "actor_relations": g["actor_relations"], "participation_counts": g["participation_counts"], "bidder_rows": _bids(g)})
 
 
 def coverage_export(s, d):
-    claims, linked, g, duties, results = _counts(s, d)
+    claims = A.claims(s, d)
+    duties = A.user_obligations(claims)
+    results = C.coverage_results(duties, A.linked_claims(claims))
     return P.coverage_export(duties, results.where(~c("obligation_id").endswith("_2")))
 
 

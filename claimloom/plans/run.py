@@ -171,19 +171,15 @@ def run(spark: SparkSession, filings: DataFrame, provider: Provider, out: str, r
         coverage = keep("coverage_results", found.coverage)
         if claims.isEmpty():
             raise ValueError("no claims to reconcile")
-        graph = {name: keep(name, df) for name, df in R.reconcile(claims).items()}
+        graph = {name: df if name in kept else keep(name, df) for name, df in R.reconcile(claims, keep).items()}
         keep("claims_disposed", sinks.disposed(claims, graph["claim_dispositions"]))
         failures = keep("validation_failures", checks(claims, spans, filings, duties, coverage, graph))
         stop(failures, "validation failed", "detail")
         rows = keep("bidder_rows", P.bidder_rows(graph["events"], graph["event_actor_links"], graph["actors"]))
         keep("projection_units", P.projection_units(rows))
         keep("projection_judgments", P.projection_judgments(rows))
-        one = lambda df: df.agg(F.count("*").alias("n"))
-        unevidenced = Q.canonical_without_evidence({n: graph[n] for n in R.CANONICAL}, graph["row_evidence"])
-        proof = P.proof({
-            "live_claims": one(claims), "obligations": one(duties), "insufficient": P.insufficient_obligations(duties, coverage), "undisposed": P.undisposed(claims, graph["claim_dispositions"]), "unevidenced": one(unevidenced),
-            "bidder_rows": one(rows), "actors": one(graph["actors"]), "events": one(graph["events"]), "failures": one(failures),
-        }).first().asDict()
+        canonical = {n: graph[n] for n in R.CANONICAL}
+        proof = P.proof(P.facts(claims, duties, coverage, graph["claim_dispositions"], canonical, graph["row_evidence"], rows, failures)).first().asDict()
         sinks.write_json(Path(out) / "proof_summary.json", proof)
         sinks.write_text(Path(out) / "memo.md", sinks.memo(run_id, proof))
         return proof

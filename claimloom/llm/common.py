@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -92,3 +93,25 @@ def add_columns(df: DataFrame, inputs: list[str], outputs: str, function: Callab
     if len({c.lower() for c in df.columns}) < len(df.columns):
         raise ValueError("column names clash; give each column its own name first")
     return map_arrow(df, run, nullable(schema))
+
+
+def set_aside(df: DataFrame, names: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """df with its columns of these names out of the way, and what gives exactly df's columns back of a table that has them all."""
+    taken = {n.lower() for n in names}
+    moved = [f"aside{i}__" if c.lower() in taken else c for i, c in enumerate(df.columns)]
+    return df.toDF(*moved), lambda out: out.select(*(F.col(m).alias(c) for m, c in zip(moved, df.columns)))
+
+
+def sifted(df: DataFrame, key: str, keys: DataFrame, bits: int = 1 << 26) -> DataFrame:
+    """The rows of df whose `key` may stand in `keys`, a table with that column: all that do, and some others.
+
+    A Bloom filter of one hash in `bits` bits, 8 MB at most whatever the size of `keys`, so it may be broadcast; an
+    exact join follows, which then shuffles little of df. The more keys there are, the less it holds back.
+    """
+    page = 1 << 15  # bits of one bitmap
+    at = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(bits))
+    maps = keys.select(at.alias("at__")).groupBy(F.floor(F.col("at__") / page).alias("page__")).agg(F.bitmap_construct_agg(F.col("at__") % page).alias("map__"))
+    placed = df.withColumn("at__", at).withColumn("page__", F.floor(F.col("at__") / page))
+    within = (F.col("at__") % page).cast("int")
+    octet = F.conv(F.hex(F.substring(F.col("map__"), F.floor(within / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return placed.join(F.broadcast(maps), "page__").where(F.getbit(octet, within % 8) == 1).select(*df.columns)

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import add_columns, table
+from claimloom.llm.common import add_columns, set_aside, table
 from claimloom.llm.simhash import shingle_hashes
 
 WIDTH, SIMILARITY, RADIUS, BLOCKS = 5, 0.8, 23, 8
@@ -112,8 +112,9 @@ class Benchmark:
         size = min(group.size, len(h))
         starts = np.unique((anchors[:, None] - np.arange(size)[None, :]).ravel())
         starts = starts[(starts >= 0) & (starts <= len(h) - size)]
-        for i in range(0, len(starts), 1 << 14):
-            some = starts[i : i + (1 << 14)]
+        step = max(1, min(1 << 14, (1 << 22) // len(group.ids)))  # windows by items, four million at a time
+        for i in range(0, len(starts), step):
+            some = starts[i : i + step]
             low = int(some[0])
             prints = fingerprints(h[low : int(some[-1]) + size], some - low, size)
             for w, item in zip(*(v.tolist() for v in group.candidates(prints))):
@@ -169,8 +170,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
-    """docs without those in which an item was found; columns as they are."""
-    return find_leaks(docs, benchmark, **how).where(F.size("leaks") == 0).select(*docs.columns)
+    """docs without those in which an item was found; columns as they are, whatever their names."""
+    moved, back = set_aside(docs, ["leaks", "leaks_here__"])
+    return back(find_leaks(moved, benchmark, **how).where(F.size("leaks") == 0))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

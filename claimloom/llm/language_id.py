@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import add_columns, map_arrow, table
+from claimloom.llm.common import add_columns, map_arrow, set_aside, table
 
 WINDOW, BATCH = 128, 2048  # bytes of a window, windows of a batch
 WIDTHS = (2, 3, 4)
@@ -218,9 +218,9 @@ def learned(docs: DataFrame) -> ByteCNN | None:
 
 
 def keep_known(docs: DataFrame, model: ByteCNN | None, least: float = 0.3) -> DataFrame:
-    """docs without those whose language is unknown or scored below `least`; columns as they are."""
-    marked = predict(docs, model)
-    return marked.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    """docs without those whose language is unknown or scored below `least`; columns as they are, whatever their names."""
+    moved, back = set_aside(docs, ["lang_pred", "score"])
+    return back(predict(moved, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -424,7 +424,9 @@ EXACT = 129  # up to this magnitude 32-bit floats hold every sum
 
 
 def planes(image: Image) -> list[np.ndarray]:
-    """Each component's samples, 0 to 255, at its own resolution."""
+    """Each component's samples, 0 to 255, at its own resolution. A ValueError if the file lacks a table that a component names."""
+    if any(c.quant not in image.quant for c in image.components):
+        raise ValueError("a component's quantisation table is missing")
     out = []
     for c in image.components:
         most = max(int(c.coefficients.max(initial=0)), -int(c.coefficients.min(initial=0))) * float(image.quant[c.quant].max())
@@ -504,7 +506,7 @@ def decode_media(media: DataFrame, media_col: str = "media") -> DataFrame:
                     if raw:
                         image = decode(raw)
                         row = [image.width, image.height, rgb(image).tobytes(), payload(image) if image.blocks is not None else None]
-                except (ValueError, KeyError):  # a table that a component names may be missing
+                except ValueError:
                     row = [None] * 4
                 yield pa.RecordBatch.from_arrays([batch.column(0)[i : i + 1], *(pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.binary(), pa.binary())))], names=["doc_id", "width", "height", "tensor", "payload"])
 
@@ -529,18 +531,26 @@ def digest_media(media: DataFrame) -> DataFrame:
     """What is read back of each file of `encode_media`: digests of the payload and the file, and features of the tensor.
 
     Equal texts give equal values. The feature string is the image's width and height, the mean of each channel
-    and the tensor's crc32. Tensors stay in the worker, one at a time.
+    and the tensor's crc32. Tensors stay in the worker, one at a time. A null or broken file has nulls, but for the
+    digest and size of the file that is there.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cols: list[list] = [[] for _ in range(6)]
             for raw in batch.column(2).to_pylist():
-                image = decode(raw)
-                tensor, back = rgb(image), payload(image)
-                mean = tensor.reshape(-1, 3).mean(0, dtype="f8")
-                feature = f"{image.width}x{image.height}:{mean[0]:.3f},{mean[1]:.3f},{mean[2]:.3f}:{zlib.crc32(tensor):08x}"
-                for c, v in zip(cols, (len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(raw), hashlib.sha256(raw).hexdigest(), feature)):
+                row: tuple = (None,) * 4
+                try:
+                    if raw:
+                        image = decode(raw)
+                        tensor = rgb(image)
+                        mean = tensor.reshape(-1, 3).mean(0, dtype="f8")
+                        back = payload(image) if image.blocks is not None else None
+                        row = (*((len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:])) if back is not None else (None,) * 3), f"{image.width}x{image.height}:{mean[0]:.3f},{mean[1]:.3f},{mean[2]:.3f}:{zlib.crc32(tensor):08x}")
+                except ValueError:
+                    row = (None,) * 4
+                own = (len(raw), hashlib.sha256(raw).hexdigest()) if raw is not None else (None, None)
+                for c, v in zip(cols, (*row[:3], *own, row[3])):
                     c.append(v)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())))],

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.llm.common import kept, map_arrow, new_path, nullable, table
+from claimloom.llm.common import dropped, kept, map_arrow, new_path, nullable, table
 
 SHARDS = 8
 
@@ -172,7 +173,7 @@ def write_shards(docs: DataFrame, dims: dict[str, Column], out: str, shards: int
 
     A row's size is its text's UTF-8 bytes (null: none) plus 1; shards are runs of near-equal size. First ids,
     hashes and sizes alone give the keys at which the shards begin; then every row, repeated ones and those without
-    an id too, goes once to its shard by its own keys. Rows equal in curve, id and text stay together. Files hold
+    an id too, goes once to its shard by its own keys. Equal rows around a shard's start are counted out. Files hold
     the columns of docs in a struct `r`, so no name clashes, with size, run and row beside it; their statistics on
     the dimensions, which stand beside it too, let a reader prune.
     """
@@ -181,20 +182,42 @@ def write_shards(docs: DataFrame, dims: dict[str, Column], out: str, shards: int
     meta = kept(docs.select(*own), "metadata")
     curve, keys = Curve(meta, [f"dim_{d}" for d in dims], bits), ["curve", "id__", "mark__"]
     placed = _placed(curve.add(meta.select("*", *curve.columns()), ["id__", "mark__", "size"]), keys, [*keys, "size"], shards)
+    placed = kept(placed, "placed")
     first = placed.groupBy("shard").agg(F.min(F.struct(*keys)).alias("first")).collect()  # one row for each shard
-    starts = [(r["shard"], r["first"]["curve"], r["first"]["id__"] is not None, r["first"]["id__"], r["first"]["mark__"]) for r in first if r["shard"]]
+    starts = [(r["shard"], tuple(r["first"])) for r in sorted(first, key=lambda r: r["shard"]) if r["shard"]]
     rows = docs.select(F.struct("*").alias("r"), *own)
     passed = ["r", "id__", "mark__", "size", *(f"dim_{d}" for d in dims)]
     named = curve.add(rows.select("*", *curve.columns()), passed)
-    key = lambda c, some, i, m: F.struct(c.cast("long").alias("a"), some.cast("boolean").alias("b"), i.alias("c"), m.cast("long").alias("d"))
     kind = dict(meta.dtypes)["id__"]
     none = F.lit(0).cast(kind)
-    mine = key(F.col("curve"), F.col("id__").isNotNull(), F.coalesce(F.col("id__"), none), F.col("mark__"))
-    begin = [F.when(mine >= key(F.lit(c), F.lit(some), F.coalesce(F.lit(i).cast(kind), none), F.lit(m)), s).otherwise(0) for s, c, some, i, m in starts]
-    shard = F.greatest(F.lit(0), F.lit(0), *begin)
-    dealt = named.withColumn("shard", shard).repartitionByRange("shard", *keys).sortWithinPartitions("shard", *keys)
+    order = lambda c, i, m: F.struct(c.cast("long").alias("a"), i.isNotNull().alias("b"), F.coalesce(i, none).alias("c"), m.cast("long").alias("d"))
+    fixed = lambda k: (F.lit(k[0]), F.lit(k[1]).cast(kind), F.lit(k[2]))
+    mine = order(F.col("curve"), F.col("id__"), F.col("mark__"))
+    shard = F.greatest(F.lit(0), F.lit(0), *(F.when(mine >= order(*fixed(k)), s).otherwise(0) for s, k in starts))
+    # Rows equal in all keys that lie on both sides of a shard's start, as only repeated rows can: each such key's rows are counted out.
+    equal = {k: reduce(Column.__and__, (c.eqNullSafe(v) for c, v in zip((F.col("curve"), F.col("id__"), F.col("mark__")), fixed(k)))) for _, k in starts}
+    which = F.coalesce(*(F.when(e, k) for k, e in enumerate(equal.values())), F.lit(-1)) if equal else F.lit(-1)
+    shares: dict[int, list[tuple[int, int]]] = {}
+    for r in placed.withColumn("key", which).where("key >= 0").groupBy("key", "shard").agg(F.count("*").alias("n")).orderBy("key", "shard").collect():  # fewer than two rows for each shard
+        shares.setdefault(r["key"], []).append((r["shard"], r["n"]))
+    split = {k: v for k, v in shares.items() if len(v) > 1}
+    passed += ["curve", "shard"]
+    named = named.withColumn("shard", shard)
+    if split:
+        repeated = which.isin(list(split))
+        counted = kept(_numbered(named.where(repeated).withColumn("key", which).sortWithinPartitions("key"), [*passed, "key"], by="key"), "repeated")
+        ahead = counted.groupBy("key", "run").agg(F.count("*").alias("n"))  # one row a key and partition
+        ahead = ahead.select("key", "run", (F.sum("n").over(Window.partitionBy("key").orderBy("run")) - F.col("n")).alias("ahead"))
+        at = F.col("ahead") + F.col("row")
+        ends = [(k, s, sum(n for _, n in v[: i + 1])) for k, v in split.items() for i, (s, _) in enumerate(v)]
+        dealt = F.coalesce(*(F.when((F.col("key") == k) & (at < end), s) for k, s, end in ends), F.col("shard"))
+        named = named.where(~repeated).unionByName(counted.join(F.broadcast(ahead), ["key", "run"]).withColumn("shard", dealt.cast("int")).select(*passed))
+    ties = [*keys, "tie__"]  # so that equal rows needn't all lie in one task
+    dealt = named.withColumn("tie__", F.monotonically_increasing_id()).repartitionByRange("shard", *ties).sortWithinPartitions("shard", *ties)
     numbered = _numbered(dealt, ["r", "size", *(f"dim_{d}" for d in dims), "curve", "shard"], by="shard")
     numbered.drop("before").write.partitionBy("shard").option("compression", "zstd").parquet(out)
+    dropped(meta)
+    dropped(placed)
 
 
 def read_shards(spark: SparkSession, out: str) -> DataFrame:

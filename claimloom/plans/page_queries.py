@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import text as X
 from claimloom.operators import mining as M
+from claimloom.operators import scan as N
 from claimloom.plans import adaptors as A
 from claimloom.sources import tables as S
 
@@ -72,6 +73,28 @@ def mined_matches(s, d):
     return rows.select("event_id", F.explode(F.concat(*cols)).alias("x")).select("event_id", "x.kind", "x.m.raw_value", "x.m.normalized_value", "x.m.start", "x.m.end")
 
 
+def _woven(s, d):
+    """Every document's and page's whole text with a sentence by template in its middle, and where the sentence begins."""
+    docs = A.table(s, d, "documents").select(F.concat(F.lit("d"), c("doc_id").cast("string")).alias("row"), c("doc_id").alias("n"), F.coalesce("text", F.lit("")).alias("body"))
+    pages = A.table(s, d, "pages").select(F.concat(F.lit("p"), c("page_id").cast("string")).alias("row"), c("page_id").alias("n"), F.coalesce("html", F.lit("")).alias("body"))
+    k, v, half = c("n") % 6, F.concat((c("n") % 90 + 10).cast("string"), F.lit(".5")), F.floor(F.length("body") / 2).cast("int")
+    sentence = (
+        F.when(k == 0, F.concat(F.lit("They offered $"), v, F.lit(" per share and later $10 to $12.50 per share.")))
+        .when(k == 1, F.lit("Eleven financial buyers entered into confidentiality agreements, and the adviser contacted a total of 30 parties; two bidders left."))
+        .when(k == 2, F.lit("On March 3, 2014, Mr. A. Smith of J.P. Row bid $3.50 per share. He left. On May 9, 2014, the board met."))
+        .when(k == 3, F.lit("Party A and The Northern Capital Partners submitted a proposal; B&C remained active with Northern Capital Partners."))
+        .otherwise("nothing.")
+    )
+    return docs.unionByName(pages).select("row", F.concat(F.substring("body", F.lit(1), half), F.lit("\n"), sentence, F.lit("\n"), F.substring(c("body"), half + 1, F.length("body"))).alias("text"))
+
+
+def mined_documents(s, d):
+    """Bids, counts, dated events and actors of every document and page, found in one pass over each whole text."""
+    found = _woven(s, d).select("row", N.scanned(c("text")).alias("m"))
+    tagged = lambda k: F.transform(c("m")[k], lambda x: F.struct(F.lit(k).alias("kind"), x.alias("m")))
+    return found.select("row", F.explode(F.concat(*map(tagged, N.KINDS))).alias("x")).select("row", "x.kind", "x.m.raw_value", "x.m.normalized_value", "x.m.start", "x.m.end")
+
+
 def joined_pages(s, d):
     turns = A.table(s, d, "conversations").select(c("conv_id").cast("string").alias("deal_slug"), c("turn").alias("page_no"), "text")
     return S.joined_pages(turns).select("deal_slug", F.sha2("text", 256).alias("text_hash"))
@@ -81,7 +104,7 @@ def title_names(s, d):
     return A.table(s, d, "supplier").select("s_suppkey", X.title_name(F.upper(F.replace(F.replace(c("s_name"), F.lit("#"), F.lit(" & ")), F.lit("0"), F.lit("o")))).alias("title"), X.token_estimate(c("s_name")).alias("tokens"))
 
 
-QUERIES = {f.__name__: f for f in (filing_addresses, page_links, index_documents, primary_documents, mined_matches, joined_pages, title_names)}
+QUERIES = {f.__name__: f for f in (filing_addresses, page_links, index_documents, primary_documents, mined_matches, mined_documents, joined_pages, title_names)}
 
 _FORMS = "[" + ", ".join(f"'{f}'" for f in FORMS) + "]"
 _IDX = f"idx AS (SELECT page_id AS filing, i AS pos, 'Doc ' || i AS name, {_FORMS}[(page_id * (i + 1) + i) % {len(FORMS)} + 1] AS form_type, CASE WHEN page_id % 3 = i THEN NULL ELSE CAST(page_id * 10 + i AS INTEGER) END AS size_bytes, 'https://x.example/doc' || i || '.htm' AS url FROM pages, (SELECT CAST(unnest(range(3)) AS INTEGER) AS i))"
@@ -106,6 +129,14 @@ ORACLE_SQL = {
       UNION ALL SELECT event_id, 'actor', 'Party A', 'Party A', 0, 7 FROM e WHERE k = 3
       UNION ALL SELECT event_id, 'actor', 'Northern Capital Partners', 'Northern Capital Partners', 16, 41 FROM e WHERE k = 3
       UNION ALL SELECT event_id, 'actor', 'B&C', 'B&C', 64, 67 FROM e WHERE k = 3""",
+    "mined_documents": """WITH t AS (SELECT 'd' || doc_id AS "row", doc_id AS n, coalesce(text, '') AS body FROM documents UNION ALL SELECT 'p' || page_id, page_id, coalesce(html, '') FROM pages),
+      e AS (SELECT "row", n % 6 AS k, CAST(n % 90 + 10 AS VARCHAR) || '.5' AS v, length(body) // 2 + 1 AS beg FROM t),
+      w(k, kind, raw_value, normalized_value, off) AS (VALUES (1, 'count', 'Eleven financial buyers entered into confidentiality agreements', '11', 0), (1, 'count', 'contacted a total of 30 parties', '30', 81), (1, 'count', 'two bidders', '2', 114),
+        (2, 'bid', '$3.50 per share', '3.5', 47), (2, 'event', 'On March 3, 2014, Mr. A. Smith of J.P. Row bid $3.50 per share.', '2014-03-03', 0), (2, 'event', 'On May 9, 2014, the board met.', '2014-05-09', 73),
+        (3, 'actor', 'Party A', 'Party A', 0), (3, 'actor', 'Northern Capital Partners', 'Northern Capital Partners', 16), (3, 'actor', 'B&C', 'B&C', 64)),
+      f AS (SELECT "row", beg, kind, raw_value, normalized_value, off FROM e JOIN w USING (k)
+        UNION ALL SELECT "row", beg, 'bid', '$' || v || ' per share', v, 13 FROM e WHERE k = 0 UNION ALL SELECT "row", beg, 'bid', '$10 to $12.50 per share', '10.0-12.5', 13 + length(v) + 22 FROM e WHERE k = 0)
+      SELECT "row", kind, raw_value, normalized_value, CAST(beg + off AS INTEGER) AS start, CAST(beg + off + length(raw_value) AS INTEGER) AS "end" FROM f""",
     "joined_pages": "SELECT CAST(conv_id AS VARCHAR) AS deal_slug, sha256(string_agg(chr(10) || '<!-- PAGE ' || turn || ' -->' || chr(10) || coalesce(text, ''), '' ORDER BY turn)) AS text_hash FROM conversations GROUP BY conv_id",
     "title_names": "WITH t AS (SELECT s_suppkey, s_name, upper(replace(replace(s_name, '#', ' & '), '0', 'o')) AS n FROM supplier) SELECT s_suppkey, array_to_string(list_transform(string_split(n, ' '), lambda w: CASE WHEN regexp_matches(w, '[&.]') THEN w ELSE upper(w[1]) || lower(w[2:]) END), ' ') AS title, CAST(greatest(1, length(s_name) // 4) AS INTEGER) AS tokens FROM t",
 }

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from claimloom.functions import text as X
 from claimloom.functions import vocabulary as V
 from claimloom.functions.ids import numbered
+from claimloom.operators.contract import count_value, keys_of, number_value
 
 _COMMON = "claim_type string, coverage_obligation_id string, confidence string, quote_text string"
 #: One array of structs for each claim type, in the order in which claims are taken.
@@ -20,10 +21,12 @@ PAYLOAD = {
     "actor_claims": f"{_COMMON}, actor_label string, actor_kind string, observability string",
     "event_claims": f"{_COMMON}, event_type string, event_subtype string, event_date string, description string, actor_label string, actor_role string",
     "bid_claims": f"{_COMMON}, bidder_label string, bid_date string, bid_value double, bid_value_lower double, bid_value_upper double, bid_value_unit string, consideration_type string, bid_stage string",
-    "participation_count_claims": f"{_COMMON}, process_stage string, actor_class string, count_min int, count_max int, count_qualifier string",
+    "participation_count_claims": f"{_COMMON}, process_stage string, actor_class string, count_min bigint, count_max bigint, count_qualifier string",
     "actor_relation_claims": f"{_COMMON}, subject_label string, object_label string, relation_type string, role_detail string, effective_date_first string",
 }
-SCHEMA = ", ".join(f"{name}: array<struct<{fields}>>" for name, fields in PAYLOAD.items())
+#: As read: numbers and counts are taken as text, and decoded by the expressions with which the contract checks them.
+SCHEMA = ", ".join(f"{name}: array<struct<{fields.replace(' double', ' string').replace(' bigint', ' string')}>>" for name, fields in PAYLOAD.items())
+_DECODED = {"double": number_value, "bigint": count_value}
 
 
 def parse_payloads(payloads: DataFrame, json_col: str = "payload") -> DataFrame:
@@ -32,20 +35,25 @@ def parse_payloads(payloads: DataFrame, json_col: str = "payload") -> DataFrame:
     Items are taken as they are; operators.contract finds their faults.
     """
     parsed = payloads.withColumn("parsed", F.from_json(json_col, f"struct<{SCHEMA}>"))
-    keys = F.json_object_keys(json_col)
+    keys = keys_of(F.col(json_col))
     unknown = F.exists(keys, lambda k: ~k.isin(list(PAYLOAD)))
     return parsed.withColumn("parse_error", F.when(keys.isNull() | F.col("parsed").isNull(), "malformed").when(unknown, "unknown_key"))
 
 
 def flatten(parsed: DataFrame, ident: str = "request_id") -> DataFrame:
-    """One row for each claim, in the fixed order of types, then of places; typed fields that a type lacks are null."""
-    own = lambda name: [f.split(" ")[0] for f in PAYLOAD[name].split(", ")]
+    """One row for each claim, in the fixed order of types, then of places; typed fields that a type lacks are null.
+
+    A number or count that the contract accepts arrives, however it is spelled; one that it refuses is null here.
+    """
     kinds = {f.split(" ")[0]: f.split(" ")[1] for fields in PAYLOAD.values() for f in fields.split(", ")}
-    parts = []
-    for i, name in enumerate(PAYLOAD):
-        rows = parsed.select(ident, F.posexplode(f"parsed.{name}").alias("pos", "c"))
-        parts.append(rows.select(ident, F.lit(i).alias("type_order"), "pos", *((F.col(f"c.{f}") if f in own(name) else F.lit(None).cast(t)).alias(f) for f, t in kinds.items())))
-    return reduce(DataFrame.unionByName, parts)
+    none = F.array().cast("array<struct<type_order: int, pos: int, " + ", ".join(f"{f}: {t}" for f, t in kinds.items()) + ">>")
+
+    def rows(order: int, name: str) -> Column:
+        own = {f.split(" ")[0] for f in PAYLOAD[name].split(", ")}
+        value = lambda x, f, t: F.lit(None).cast(t) if f not in own else _DECODED[t](x[f]) if t in _DECODED else x[f]
+        return F.coalesce(F.transform(F.col(f"parsed.{name}"), lambda x, i: F.struct(F.lit(order).alias("type_order"), i.cast("int").alias("pos"), *(value(x, f, t).alias(f) for f, t in kinds.items()))), none)
+
+    return parsed.select(ident, F.explode(F.concat(*(rows(i, name) for i, name in enumerate(PAYLOAD)))).alias("c")).select(ident, "c.*")
 
 
 def word_pairs(words: Column) -> Column:

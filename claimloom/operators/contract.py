@@ -1,4 +1,4 @@
-"""The strict contract of provider payloads: faults of every claim, and the JSON schema that a request states.
+"""The strict contract of provider payloads: faults of every claim, the values of accepted ones, and a request's JSON schema.
 
 A field is a kind (text, name, date, number, count, or a list of the values it may have), whether it may be null, and
 whether it may be absent. Both the check and the schema are derived from FIELDS, so they can't differ.
@@ -43,6 +43,35 @@ FIELDS: dict[str, dict[str, Field]] = {
 FIELDS = {name: {**_ALL, "claim_type": Field([name.removesuffix("_claims")]), **own} for name, own in FIELDS.items()}
 
 
+#: A number as text: digits with or without a point and an exponent, and white space around.
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+WHOLE = r"^\s*[+]?[0-9]+\s*$"
+
+
+def number_value(text: Column) -> Column:
+    """The double that a number's text stands for, be it of a JSON number or string; null for any other text, and beyond a double."""
+    value = F.trim(F.regexp_replace(text, r"^\s+|\s+$", "")).try_cast("double")
+    return F.when(text.rlike(NUMBER) & (F.abs(value) < float("inf")), value)
+
+
+def count_value(text: Column) -> Column:
+    """The long that a count's text stands for: whole, in any spelling of a number, and not below zero; else null."""
+    digits = F.when(text.rlike(WHOLE), F.regexp_replace(text, r"^\s*\+?|\s+$", "").try_cast("bigint"))
+    number = number_value(text)
+    return F.coalesce(digits, F.when((number >= 0) & (number == F.floor(number)) & (number < 2.0**53), number.cast("bigint")))
+
+
+def keys_of(text: Column) -> Column:
+    """The keys of a text that is one JSON object and nothing else; null for any other.
+
+    The object is read as the first value of a larger one whose last key is the text's hash: only if the text ends where
+    its object ends does the larger one have just these two keys.
+    """
+    mark = F.sha2(text, 256)
+    outer = F.json_object_keys(F.concat(F.lit('{"x":'), text, F.lit(',"'), mark, F.lit('":1}')))
+    return F.when(outer == F.array(F.lit("x"), mark), F.json_object_keys(text))
+
+
 def _of_field(value) -> Column:
     """A map literal from `array.field` to what `value` makes of its Field."""
     return F.create_map(*(x for name, fields in FIELDS.items() for n, f in fields.items() for x in (F.lit(f"{name}.{n}"), value(f))))
@@ -51,7 +80,7 @@ def _of_field(value) -> Column:
 def payload_faults(payloads: DataFrame, ident: str = "request_id", json_col: str = "payload") -> DataFrame:
     """(ident, claim_array, pos, fault) of every fault; payloads without a row here keep the contract.
 
-    Faults: `malformed` (no JSON object; claim_array and pos null), `unknown NAME` for a key at the top, `not an
+    Faults: `malformed` (not one JSON object, or text before or after it; claim_array and pos null), `unknown NAME` for a key at the top, `not an
     array`, and of items `not an object`, `unknown NAME`, `missing NAME`, `bad NAME` (the wrong type, a value that is
     not of its list, a date that no calendar has, a number that can't be read, a count below zero, a null where none
     may be). A null payload is malformed, and an absent array is an empty one. Native expressions: payloads are
@@ -61,7 +90,7 @@ def payload_faults(payloads: DataFrame, ident: str = "request_id", json_col: str
     part = lambda name, pos, item, fault: F.struct(name.alias("claim_array"), pos.cast("int").alias("pos"), item.alias("item"), fault.alias("fault"))
     raw = F.from_json(text, "map<string,string>")
     # An object without keys has no fault; the outer explode below gives a row to what is no object.
-    top = payloads.where(F.coalesce(F.size(F.json_object_keys(text)), F.lit(-1)) != 0).select(ident, F.when(F.json_object_keys(text).isNotNull(), raw).alias("arrays"))
+    top = payloads.where(F.coalesce(F.size(keys_of(text)), F.lit(-1)) != 0).select(ident, F.when(keys_of(text).isNotNull(), raw).alias("arrays"))
     top = top.select(ident, F.explode_outer("arrays").alias("claim_array", "items"))
     what = F.when(F.col("claim_array").isNull(), "malformed").when(~F.col("claim_array").isin(list(FIELDS)), F.concat(F.lit("unknown "), "claim_array")).when(~F.coalesce(F.col("items").startswith("["), F.lit(False)), "not an array")
     name = F.when(F.col("claim_array").isin(list(FIELDS)), F.col("claim_array"))
@@ -78,13 +107,13 @@ def payload_faults(payloads: DataFrame, ident: str = "request_id", json_col: str
     kind = F.element_at(_of_field(lambda f: F.lit("list" if isinstance(f.kind, list) else f.kind)), F.col("key"))
     values = F.element_at(_of_field(lambda f: F.array(*map(F.lit, f.kind if isinstance(f.kind, list) else [""]))), F.col("key"))
     fields = fields.withColumns({"kind": kind, "values": values, "null": F.element_at(_of_field(lambda f: F.lit(f.null)), F.col("key"))})
-    is_text, number = F.col("type") == "STRING", F.when(F.col("type") != "BOOLEAN", F.col("text").try_cast("double"))
+    is_text, spelled = F.col("type") == "STRING", F.when(F.col("type") != "BOOLEAN", F.col("text"))
     good = (
         F.when(F.col("type") == "VOID", F.col("null"))
         .when(F.col("kind") == "list", is_text & F.array_contains("values", F.col("text")))
         .when(F.col("kind") == "date", is_text & F.col("text").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & F.try_to_timestamp("text", F.lit("yyyy-MM-dd")).isNotNull())
-        .when(F.col("kind") == "number", number.isNotNull())
-        .when(F.col("kind") == "count", (number >= 0) & (number == F.floor(number)))
+        .when(F.col("kind") == "number", number_value(spelled).isNotNull())
+        .when(F.col("kind") == "count", count_value(spelled).isNotNull())
         .when(F.col("kind") == "name", is_text & (F.col("text") != ""))
         .otherwise(is_text)
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from claimloom.functions import text as X
+from claimloom.operators import markdown as D
 from claimloom.operators import mining as M
 from claimloom.operators import scan as N
 from claimloom.plans import adaptors as A
@@ -100,11 +101,18 @@ def joined_pages(s, d):
     return S.joined_pages(turns).select("deal_slug", F.sha2("text", 256).alias("text_hash"))
 
 
+def page_markdown(s, d):
+    """Every page converted whole: its links, headings, list items and markers."""
+    made = D.converted(A.table(s, d, "pages"))
+    count = lambda pattern: F.regexp_count("markdown", F.lit(pattern)).alias
+    return made.select("page_id", count(r"\]\([^)]*\)")("links"), count(r"(?m)^# \S")("headings"), count(r"(?m)^- \[")("items"), count("<!-- PAGE [0-9]+ -->")("pages"))
+
+
 def title_names(s, d):
     return A.table(s, d, "supplier").select("s_suppkey", X.title_name(F.upper(F.replace(F.replace(c("s_name"), F.lit("#"), F.lit(" & ")), F.lit("0"), F.lit("o")))).alias("title"), X.token_estimate(c("s_name")).alias("tokens"))
 
 
-QUERIES = {f.__name__: f for f in (filing_addresses, page_links, index_documents, primary_documents, mined_matches, mined_documents, joined_pages, title_names)}
+QUERIES = {f.__name__: f for f in (filing_addresses, page_links, index_documents, primary_documents, mined_matches, mined_documents, page_markdown, joined_pages, title_names)}
 
 _FORMS = "[" + ", ".join(f"'{f}'" for f in FORMS) + "]"
 _IDX = f"idx AS (SELECT page_id AS filing, i AS pos, 'Doc ' || i AS name, {_FORMS}[(page_id * (i + 1) + i) % {len(FORMS)} + 1] AS form_type, CASE WHEN page_id % 3 = i THEN NULL ELSE CAST(page_id * 10 + i AS INTEGER) END AS size_bytes, 'https://x.example/doc' || i || '.htm' AS url FROM pages, (SELECT CAST(unnest(range(3)) AS INTEGER) AS i))"
@@ -138,5 +146,7 @@ ORACLE_SQL = {
         UNION ALL SELECT "row", beg, 'bid', '$' || v || ' per share', v, 13 FROM e WHERE k = 0 UNION ALL SELECT "row", beg, 'bid', '$10 to $12.50 per share', '10.0-12.5', 13 + length(v) + 22 FROM e WHERE k = 0)
       SELECT "row", kind, raw_value, normalized_value, CAST(beg + off AS INTEGER) AS start, CAST(beg + off + length(raw_value) AS INTEGER) AS "end" FROM f""",
     "joined_pages": "SELECT CAST(conv_id AS VARCHAR) AS deal_slug, sha256(string_agg(chr(10) || '<!-- PAGE ' || turn || ' -->' || chr(10) || coalesce(text, ''), '' ORDER BY turn)) AS text_hash FROM conversations GROUP BY conv_id",
+    "page_markdown": """WITH p AS (SELECT page_id, regexp_replace(coalesce(html, ''), '(?s)<script.*?</script>|<!--.*?-->|<style.*?</style>', '', 'g') AS h FROM pages)
+      SELECT page_id, CAST(len(regexp_extract_all(h, '<a href="[^"]*">\\s*[^<\\s]')) AS INTEGER) AS links, CAST(len(regexp_extract_all(h, '<h1>\\s*[^<\\s]')) AS INTEGER) AS headings, CAST(len(regexp_extract_all(h, '<li><a href="[^"]*">\\s*[^<\\s]')) AS INTEGER) AS items, CAST(1 AS INTEGER) AS pages FROM p""",
     "title_names": "WITH t AS (SELECT s_suppkey, s_name, upper(replace(replace(s_name, '#', ' & '), '0', 'o')) AS n FROM supplier) SELECT s_suppkey, array_to_string(list_transform(string_split(n, ' '), lambda w: CASE WHEN regexp_matches(w, '[&.]') THEN w ELSE upper(w[1]) || lower(w[2:]) END), ' ') AS title, CAST(greatest(1, length(s_name) // 4) AS INTEGER) AS tokens FROM t",
 }

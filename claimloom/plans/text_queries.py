@@ -9,8 +9,10 @@ from claimloom.functions import vocabulary as V
 from claimloom.operators import claims as C
 from claimloom.operators import evidence as E
 from claimloom.operators import ingest as I
+from claimloom.operators import sections as W
 from claimloom.operators import validate as Q
 from claimloom.plans import adaptors as A
+from claimloom.plans import incremental as N
 
 _GAP = "[ \\t\\n\\r\\f\\v]"
 LINES = """lin0 AS (
@@ -160,7 +162,34 @@ def labels_in_text(s, d):
     return docs.select("doc_id", F.array_join(X.labels_in(F.col("text"), F.array(*map(F.lit, LABELS))), "|").alias("labels"))
 
 
-QUERIES = {f.__name__: f for f in (line_spans, removal_log, paragraphs, sections, seed_spans, filings_summary, evidence_regions, coverage_obligations, window_paragraphs, window_prompts, quote_binding, quote_status, quote_metrics, val_source_truth, validate_quote, labels_in_text)}
+CHUNK, TERMS, BEFORE, AFTER = 700, ["thing", "ough", "NICHT", "license"], 40, 60
+
+
+def section_windows(s, d):
+    return W.section_windows(_paragraphs(s, d))
+
+
+def text_chunks(s, d):
+    """The paragraphs of every filing's sections in chunks of at most 700 characters."""
+    return W.chunks(W.windowed(_paragraphs(s, d)), CHUNK, ("deal_slug", "window"))
+
+
+def term_context(s, d):
+    docs = A.table(s, d, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("deal_slug"), "text")
+    return W.term_context(docs, TERMS, BEFORE, AFTER)
+
+
+def filing_sources(s, d):
+    """Filings whose source paths are absolute, below the root, a name alone or missing, against files that may lie elsewhere or have changed."""
+    n, name = F.col("doc_id"), F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".md"))
+    docs = A.table(s, d, "documents").select(n, F.coalesce("text", F.lit("")).alias("text"), name.alias("name"))
+    files = docs.where(n % 11 != 4).select(F.concat(F.when(n % 10 == 2, "/r/").otherwise("/r/in/"), "name").alias("path"), "text")
+    path = F.when(n % 5 == 0, F.concat(F.lit("file:/r/in/"), "name")).when(n % 5 == 1, F.concat(F.lit("in/"), "name")).when(n % 5 == 2, F.concat(F.lit("old/"), "name")).when(n % 5 == 3, F.concat(F.lit("/r/in/"), "name"))
+    filings = docs.select(F.concat(F.lit("f"), n.cast("string")).alias("filing_id"), path.alias("source_path"), F.when(n % 7 == 0, "0").otherwise(X.sha256(F.col("text"))).alias("raw_sha256"))
+    return N.source_failures(N.resolved(filings, files, "/r"))
+
+
+QUERIES = {f.__name__: f for f in (section_windows, text_chunks, term_context, filing_sources, line_spans, removal_log, paragraphs, sections, seed_spans, filings_summary, evidence_regions, coverage_obligations, window_paragraphs, window_prompts, quote_binding, quote_status, quote_metrics, val_source_truth, validate_quote, labels_in_text)}
 
 _SCOPE = "CASE upper(coalesce(form_type, '')) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in V.PROCESS_SCOPES.items()) + " WHEN '' THEN 'target_full_proxy' END"
 _TYPES = '["event","participation_count","actor","bid","actor_relation"]'
@@ -192,4 +221,21 @@ ORACLE_SQL = {
       SELECT check_name, 'spans' AS table_name, evidence_id AS row_id, detail FROM f""",
     "validate_quote": f"WITH {SPANS} SELECT coalesce(ce <= length(src) AND ce >= cs AND sha256(substr(src, cs + 1, ce - cs)) = qh, false) AS valid, count(*) AS n, min(evidence_id) AS first_id FROM spn GROUP BY 1",
     "labels_in_text": "WITH l(label) AS (VALUES " + ", ".join(f"('{x}')" for x in LABELS) + "), h AS (SELECT doc_id, label, strpos(text, label) AS pos FROM documents, l) SELECT doc_id, coalesce(string_agg(label, '|' ORDER BY pos, length(label) DESC, label) FILTER (pos > 0), '') AS labels FROM h GROUP BY doc_id",
+    "section_windows": FILED + ", win0 AS (SELECT *, CASE WHEN section <> lag(section) OVER w THEN 1 WHEN lag(section) OVER w IS NULL THEN 1 ELSE 0 END AS opens FROM par WINDOW w AS (PARTITION BY deal_slug ORDER BY char_start)), win AS (SELECT *, CAST(sum(opens) OVER (PARTITION BY deal_slug ORDER BY char_start) AS INTEGER) AS w FROM win0) SELECT deal_slug, w AS window, first(section) AS section, min(n) AS n_first, max(n) AS n_last, min(char_start) AS char_start, max(char_end) AS char_end FROM win GROUP BY deal_slug, w",
+    "text_chunks": FILED.replace("WITH ", "WITH RECURSIVE ", 1) + f""", win0 AS (SELECT *, CASE WHEN section <> lag(section) OVER w THEN 1 WHEN lag(section) OVER w IS NULL THEN 1 ELSE 0 END AS opens FROM par WINDOW w AS (PARTITION BY deal_slug ORDER BY char_start)),
+      win AS MATERIALIZED (SELECT deal_slug, n, char_start, char_end, CAST(sum(opens) OVER (PARTITION BY deal_slug ORDER BY char_start) AS INTEGER) AS w FROM win0),
+      walk(deal_slug, n, w, start, char_end, first_start, chunk) AS (
+        SELECT deal_slug, n, w, char_start, char_end, char_start, 1 FROM win WHERE n = 1
+        UNION ALL SELECT x.deal_slug, x.n, x.w, x.char_start, x.char_end, CASE WHEN x.w <> k.w OR x.char_end - first_start > {CHUNK} THEN x.char_start ELSE first_start END, CASE WHEN x.w <> k.w THEN 1 WHEN x.char_end - first_start > {CHUNK} THEN chunk + 1 ELSE chunk END
+        FROM walk k JOIN win x ON x.deal_slug = k.deal_slug AND x.n = k.n + 1)
+      SELECT deal_slug, w AS window, CAST(chunk AS INTEGER) AS chunk, min(n) AS n_first, max(n) AS n_last, min(start) AS char_start, max(char_end) AS char_end, max(char_end) - min(start) > {CHUNK} AS over_long FROM walk GROUP BY deal_slug, w, chunk""",
+    "term_context": f"""WITH t(term) AS (VALUES {", ".join(f"('{t.lower()}')" for t in TERMS)}), p AS (SELECT doc_id, length(text) AS size, term, string_split(translate(text, '{W._UPPER}', '{W._LOWER}'), term) AS parts FROM documents, t WHERE text IS NOT NULL),
+      q AS (SELECT doc_id, size, term, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS i, len(parts) AS last FROM p WHERE len(parts) > 1),
+      r AS (SELECT doc_id, size, term, i, last, CAST(sum(length(part) + length(term)) OVER (PARTITION BY doc_id, term ORDER BY i) - length(term) AS INTEGER) AS beg FROM q),
+      h AS (SELECT doc_id, term, greatest(0, beg - {BEFORE}) AS a, least(size, beg + length(term) + {AFTER}) AS z FROM r WHERE i < last),
+      o AS (SELECT *, CASE WHEN a <= max(z) OVER (PARTITION BY doc_id ORDER BY a, z, term ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM h),
+      g AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY a, z, term) AS island FROM o)
+      SELECT 'd' || doc_id AS deal_slug, CAST(min(a) AS INTEGER) AS char_start, CAST(max(z) AS INTEGER) AS char_end, count(*) AS hits, string_agg(DISTINCT term, '|' ORDER BY term) AS terms FROM g GROUP BY doc_id, island""",
+    "filing_sources": """SELECT 'source_truth' AS check_name, 'filings' AS table_name, 'f' || doc_id AS row_id, CASE WHEN doc_id % 5 = 4 THEN 'missing source_path' WHEN doc_id % 11 = 4 OR (doc_id % 5 = 2) <> (doc_id % 10 = 2) THEN 'source file is missing' ELSE 'raw_sha256 differs from the source file' END AS detail
+      FROM documents WHERE doc_id % 5 = 4 OR doc_id % 11 = 4 OR (doc_id % 5 = 2) <> (doc_id % 10 = 2) OR doc_id % 7 = 0""",
 }

@@ -121,22 +121,57 @@ def payload_faults(payloads: DataFrame, ident: str = "request_id", json_col: str
     return outer.unionByName(fields.select(ident, "claim_array", "pos", fault.alias("fault")).where("fault is not null"))
 
 
-def request_schema() -> str:
-    """The JSON schema of a payload, as a request states it: closed objects, every field required, nulls spelled out."""
+# What bids and relations may be where their obligations ask for one thing alone.
+NARROWED = {("bid", "Final bid price"): ("bid_claims", "bid_stage", ["final"]), ("actor_relation", "Buyer group composition"): ("actor_relation_claims", "relation_type", ["member_of", "affiliate_of", "controls", "acquisition_vehicle_of"])}
 
-    def value(field: Field) -> dict:
+
+def request_schema(lists: dict[tuple[str, str], object] | None = None) -> str:
+    """The JSON schema of a payload: closed objects, every field required, nulls spelled out, no keyword that strict providers refuse.
+
+    lists: values that a field of an array may have, in place of its own.
+    """
+
+    def value(name: str, field_name: str, field: Field) -> dict:
         kinds = {"text": "string", "name": "string", "date": "string", "number": "number", "count": "integer"}
         kind = "string" if isinstance(field.kind, list) else kinds[field.kind]
         out: dict = {"type": [kind, "null"] if field.null else kind}
-        if isinstance(field.kind, list):
+        if (own := (lists or {}).get((name, field_name))) is not None:
+            out["enum"] = own
+        elif isinstance(field.kind, list):
             out["enum"] = [*field.kind, None] if field.null else field.kind
-        return out | ({"minLength": 1} if field.kind == "name" else {}) | ({"minimum": 0} if field.kind == "count" else {}) | ({"format": "date"} if field.kind == "date" else {})
+        return out
 
-    item = lambda fields: {"type": "object", "additionalProperties": False, "required": list(fields), "properties": {n: value(f) for n, f in fields.items()}}
-    arrays = {name: {"type": "array", "items": item(fields)} for name, fields in FIELDS.items()}
+    item = lambda name, fields: {"type": "object", "additionalProperties": False, "required": list(fields), "properties": {n: value(name, n, f) for n, f in fields.items()}}
+    arrays = {name: {"type": "array", "items": item(name, fields)} for name, fields in FIELDS.items()}
     return json.dumps({"type": "object", "additionalProperties": False, "required": list(FIELDS), "properties": arrays}, sort_keys=True)
 
 
+def schema_of(obligations: Column) -> Column:
+    """A request's own schema, from its array of obligations (obligation_id, expected_claim_type, obligation_label).
+
+    A claim names one of the request's obligations of its type; of a type without any, a name that none has. Bids are
+    final ones and relations those of a group where that is all the obligations of the type ask for. The text between
+    the lists is the same for all requests; lists are put in row by row.
+    """
+    lists: dict[tuple[str, str], Column] = {}
+    for name in FIELDS:
+        kind = name.removesuffix("_claims")
+        ids = F.transform(F.filter(obligations, lambda o: o["expected_claim_type"] == kind), lambda o: o["obligation_id"])  # noqa: B023
+        lists[name, "coverage_obligation_id"] = F.when(F.size(ids) > 0, ids).otherwise(F.array(F.lit(f"__no_{kind}_coverage_obligation__")))
+    for (kind, label), (name, field, values) in NARROWED.items():
+        mine = F.filter(obligations, lambda o: o["expected_claim_type"] == kind)  # noqa: B023
+        only = (F.size(mine) > 0) & F.forall(mine, lambda o: F.coalesce(o["obligation_label"] == label, F.lit(False)))  # noqa: B023
+        lists[name, field] = F.when(only, F.array(*map(F.lit, values))).otherwise(F.array(*map(F.lit, FIELDS[name][field].kind)))
+    places = {f"\x00{i}\x00": where for i, where in enumerate(lists)}
+    text = request_schema({where: mark for mark, where in places.items()})
+    parts, at = [], 0
+    for mark, where in sorted(((json.dumps(m), w) for m, w in places.items()), key=lambda x: text.index(x[0])):
+        k = text.index(mark)
+        parts += [F.lit(text[at:k]), F.to_json(lists[where])]
+        at = k + len(mark)
+    return F.concat(*parts, F.lit(text[at:]))
+
+
 def keeping(payloads: DataFrame, ident: str = "request_id", json_col: str = "payload") -> DataFrame:
     """The payloads without any fault."""
     return payloads.join(payload_faults(payloads, ident, json_col).select(ident).distinct(), ident, "left_anti")

@@ -157,7 +157,7 @@ def cost_envelope(metrics: DataFrame, input_price: float = 0.0, output_price: fl
     """
     names = ["windows", "input_tokens", "output_tokens", "claims", "retry_count", "provider_failure_count", "quote_rejections"]
     total = metrics.agg(F.count("*").alias("deals"), *(F.sum(n).alias(n) for n in names), F.when(F.count("cost_usd") == F.count("*"), F.sum("cost_usd")).alias("actual"), F.sum("cost_usd").alias("partial"), usage_basis(F.sort_array(F.collect_set("token_usage_basis"))).alias("cost_basis"))
-    rows = total.withColumn("deal_count", F.explode(F.array(*map(F.lit, deal_counts)))).withColumn("scale", F.col("deal_count") / F.col("deals"))
+    rows = total.withColumn("deal_count", F.explode(F.array(*map(F.lit, deal_counts)))).withColumn("scale", F.try_divide(F.col("deal_count"), F.col("deals")))
     scaled = {n: F.col(n).cast("double") * F.col("scale") for n in names}
     cost = (scaled["input_tokens"] * input_price + scaled["output_tokens"] * output_price) / 1_000_000
     return rows.select(
@@ -167,6 +167,36 @@ def cost_envelope(metrics: DataFrame, input_price: float = 0.0, output_price: fl
     )
 
 
+def cost_rows(metrics: DataFrame, input_price: float = 0.0, output_price: float = 0.0, deal_counts: list[int] = V.DEAL_COUNTS) -> DataFrame:
+    """The rows of the cost summary: projections from exactly three observed deals, else one row of what was observed, with nothing projected.
+
+    `metrics` as for cost_envelope, with coverage_obligations.
+    """
+    names = ["windows", "input_tokens", "output_tokens", "claims", "coverage_obligations", "retry_count", "provider_failure_count", "quote_rejections"]
+    told = {"windows", "input_tokens", "output_tokens", "retry_count", "provider_failure_count"}  # without a projection, too
+    shown = {"provider_failure_count": "provider_failures", "quote_rejections": "quote_validation_rejections"}
+    total = metrics.agg(F.count("*").alias("deals"), *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names), F.when(F.count("cost_usd") == F.count("*"), F.sum("cost_usd")).alias("actual"), usage_basis(F.sort_array(F.collect_set("token_usage_basis"))).alias("basis"))
+    three = F.col("deals") == V.DEAL_COUNTS[0]
+    rows = total.withColumn("deal_count", F.explode(F.when(three, F.array(*(F.lit(n).cast("long") for n in deal_counts))).otherwise(F.array("deals")))).withColumn("scale", F.try_divide(F.col("deal_count"), F.col("deals")))
+    scaled = {n: F.when(three, F.col(n).cast("double") * F.col("scale")).otherwise(F.col(n).cast("double") if n in told else F.lit(None).cast("double")) for n in names}
+    cost = F.when(three, (scaled["input_tokens"] * input_price + scaled["output_tokens"] * output_price) / 1_000_000)
+    return rows.select(
+        "deal_count", F.when(F.col("deals") == 0, "estimated").otherwise(F.col("basis")).alias("cost_basis"), *(v.alias(f"projected_{shown.get(n, n)}") for n, v in scaled.items()), cost.alias("estimated_cost_usd"),
+        F.when(three & (F.col("deal_count") == F.col("deals")), F.col("actual")).alias("actual_cost_usd"), F.when(three, "linear_from_observed_three_deal_metrics").otherwise("not_projected_requires_three_observed_deals").alias("assumption_basis"),
+    )
+
+
+def candidate_metrics(results: DataFrame, keys: tuple[str, ...] = ("stage", "candidate")) -> DataFrame:
+    """Of each stage and candidate: jobs, the share that went well, means over those rounded to four places, and totals."""
+    ok = F.col("result") == "OK"
+    mean = lambda col: F.round(F.avg(F.when(ok, F.col(col))), 4).alias(f"mean_{col}")
+    claims = F.coalesce("strict_claims", F.lit(0))
+    return results.groupBy(*keys).agg(
+        F.count("*").alias("jobs_recorded"), F.count_if(ok).alias("ok_jobs"), F.count_if(~ok | ok.isNull()).alias("failed_jobs"), F.round(F.count_if(ok) / F.count("*"), 4).alias("ok_rate"),
+        *(mean(x) for x in ("duration_s", "input_tokens", "output_tokens", "quote_match_rate")), F.coalesce(F.sum(F.when(ok, claims)), F.lit(0)).alias("total_strict_claims"), F.round(F.avg(F.when(ok, claims)), 4).alias("mean_strict_claims_per_ok_job"),
+    )
+
+
 def shard_plan(slugs: DataFrame, size: int) -> DataFrame:
     """(deal_slug, source_order, shard_id): runs of `size` slugs in order, numbered range by range."""
     found = placed(stored(in_ranges(slugs.select("deal_slug").distinct(), ["deal_slug"]), "slugs"), ["deal_slug"])

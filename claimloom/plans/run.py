@@ -22,6 +22,7 @@ from claimloom.operators import claims as C
 from claimloom.operators import contract as K
 from claimloom.operators import evidence as E
 from claimloom.operators import ingest as I
+from claimloom.operators import outcomes as O
 from claimloom.operators import project as P
 from claimloom.operators import reconcile as R
 from claimloom.operators import validate as Q
@@ -162,7 +163,7 @@ def run(spark: SparkSession, filings: DataFrame, provider: Provider, out: str, r
         regions = keep("evidence_regions", E.regions(paras))
         duties = keep("coverage_obligations", E.obligations(regions))
         windows = E.windows(regions, E.window_paragraphs(regions, paras, seeds), duties)
-        requests = keep("requests", windows.join(E.prompt_text(windows), "request_id"))
+        requests = keep("requests", windows.join(E.prompt_text(windows), "request_id").withColumn("schema", K.schema_of(F.col("coverage_obligations"))))
         payloads = keep("payloads", provider(requests))
         faults = keep("payload_faults", K.payload_faults(payloads.select("request_id", "payload")))
         found = extract(requests, payloads, duties, faults)
@@ -173,7 +174,10 @@ def run(spark: SparkSession, filings: DataFrame, provider: Provider, out: str, r
             raise ValueError("no claims to reconcile")
         graph = {name: df if name in kept else keep(name, df) for name, df in R.reconcile(claims, keep).items()}
         keep("claims_disposed", sinks.disposed(claims, graph["claim_dispositions"]))
-        failures = keep("validation_failures", checks(claims, spans, filings, duties, coverage, graph))
+        watched, seen = O.observed(checks(claims, spans, filings, duties, coverage, graph), CHECKS)
+        failures = keep("validation_failures", watched)
+        sinks.write_json(Path(out) / "validation_report.json", {"passed": seen.get["hard_failures"] == 0, **seen.get})
+        O.ambiguity_queue(failures).write.mode("overwrite").option("header", "true").csv(f"{out}/ambiguity_queue")
         stop(failures, "validation failed", "detail")
         rows = keep("bidder_rows", P.bidder_rows(graph["events"], graph["event_actor_links"], graph["actors"]))
         keep("projection_units", P.projection_units(rows))
@@ -185,6 +189,10 @@ def run(spark: SparkSession, filings: DataFrame, provider: Provider, out: str, r
         return proof
 
 
+#: The names that checks() gives its failures.
+CHECKS = ["claim_disposition", "coverage_result", "claim_evidence", "semantic_claim_evidence", "row_evidence", "source_truth", "evidence_fingerprint"]
+
+
 def checks(claims: DataFrame, spans: DataFrame, filings: DataFrame, duties: DataFrame, coverage: DataFrame, graph: dict[str, DataFrame]) -> DataFrame:
     """All hard checks of a run as one table of failures."""
     sources = filings.select(make_id(F.col("deal_slug"), "filing", F.lit(1)).alias("filing_id"), "text", X.sha256(F.col("text")).alias("raw_sha256"))

@@ -79,6 +79,10 @@ def test_run(spark, filings, tmp_path):
     assert (row["actor_label"], row["bI"], row["bF"]) == ("Party A", 10.5, 10.5)
     actors = spark.read.parquet(str(tmp_path / "r" / "actors")).orderBy("actor_id").collect()
     assert [(r["actor_id"], r["label"]) for r in actors] == [("a-b_actor_1", "A B"), ("a-b_actor_2", "Buyer Group"), ("a-b_actor_3", "Party A")]
+    report = json.loads((tmp_path / "r" / "validation_report.json").read_text())
+    assert report["passed"] and report["hard_failures"] == 0 and set(report) == {"passed", "hard_failures", *kernel.CHECKS}
+    request = spark.read.parquet(str(tmp_path / "r" / "requests")).first()
+    assert json.loads(request["schema"])["properties"]["bid_claims"]["items"]["properties"]["coverage_obligation_id"]["enum"] == ["a-b_obligation_9"]
     again = kernel.run(spark, one, provider(spark, payload()), str(tmp_path / "r"), RUN)
     assert again == proof
     with pytest.raises(ValueError, match="another configuration"):

@@ -4,12 +4,15 @@ Each benchmark item is a multiset of word shingles with a 64-bit fingerprint. Ev
 many shingles as an item is a window of that item's size. A multi-index over Hamming blocks gives all items of a
 window's size whose fingerprints are within the radius, without loss: if two fingerprints differ in at most
 `radius` of 64 bits, one of eight blocks differs in at most radius // 8. Candidates are then verified exactly: the
-weighted Jaccard similarity of the two shingle multisets. Windows that share no shingle with any item have
-similarity zero and are never fingerprinted.
+weighted Jaccard similarity of the two shingle multisets.
+
+Windows that can't reach the similarity are never fingerprinted: the places of an item's shingles in the text vote
+for the windows that cover them, and only a window with as many places as the similarity needs is compared with that item.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -47,6 +50,10 @@ class Group:
         self.bags = [dict(zip(*(v.tolist() for v in np.unique(h, return_counts=True)))) for _, h in items]
         self.prints = np.array([fingerprints(h, np.zeros(1, "i8"), self.size)[0] for _, h in items], "u8")
         self.radius = radius
+        unique = [np.unique(h) for _, h in items]
+        held, holders = np.concatenate(unique), np.repeat(np.arange(len(items)), list(map(len, unique)))
+        order = np.argsort(held, kind="stable")
+        self.held, self.holders = held[order], holders[order]  # each item's shingles, in order, and whose they are
         steps = [0] + [sum(1 << b for b in c) for n in range(1, radius // BLOCKS + 1) for c in combinations(range(8), n)]
         self.near = np.zeros((BLOCKS, 256, len(items)), bool)
         for b, row in enumerate(self.prints.view("u1").reshape(-1, 8).T):
@@ -55,14 +62,62 @@ class Group:
 
     def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All (window, item) within the radius."""
-        bytes_ = prints.view("u1").reshape(-1, 8)
-        hit = self.near[0, bytes_[:, 0]]
-        for b in range(1, BLOCKS):
-            hit |= self.near[b, bytes_[:, b]]
-        w, i = np.nonzero(hit)
-        keep = np.bitwise_count(prints[w] ^ self.prints[i]) <= self.radius
+        w, i = (x.ravel() for x in np.meshgrid(np.arange(len(prints)), np.arange(len(self.ids)), indexing="ij"))
+        keep = self.within(prints, w, i)
         return w[keep], i[keep]
 
+    def within(self, prints: np.ndarray, windows: np.ndarray, items: np.ndarray) -> np.ndarray:
+        """Whether each window's fingerprint is within the radius of its item's: by the index of blocks first, then by all bits."""
+        bytes_ = prints.view("u1").reshape(-1, 8)
+        hit = np.zeros(len(windows), bool)
+        for b in range(BLOCKS):
+            hit |= self.near[b, bytes_[windows, b], items]
+        at = np.flatnonzero(hit)
+        hit[at] = np.bitwise_count(prints[windows[at]] ^ self.prints[items[at]]) <= self.radius
+        return hit
+
+    def voted(self, h: np.ndarray, anchors: np.ndarray, similarity: float, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(starts, items) of the windows of h that hold enough places of an item's shingles, some items at a time.
+
+        anchors are the places of shingles of any item. A window of `size` needs t (size + item's size) / (1 + t) shared
+        shingles for the similarity t, and shares no more than it has places; so from the first to the last of that many
+        places in a row there must be less than a window.
+        """
+        size = min(self.size, len(h))
+        need = max(1, math.ceil(similarity * (size + self.size) / (1 + similarity) - 1e-9))
+        places = anchors[np.argsort(h[anchors], kind="stable")]
+        keys, first, counts = np.unique(h[places], return_index=True, return_counts=True)
+        low = np.searchsorted(self.held, keys)
+        n = np.searchsorted(self.held, keys, side="right") - low
+        key = np.repeat(np.arange(len(keys)), n)
+        item = self.holders[np.arange(int(n.sum())) + np.repeat(low - (np.cumsum(n) - n), n)]
+        votes = np.bincount(item, weights=counts[key], minlength=len(self.ids))
+        keep = np.flatnonzero(votes[item] >= need)
+        keep = keep[np.argsort(item[keep], kind="stable")]
+        item, key = item[keep], key[keep]
+        if not len(item):
+            return
+        bounds = np.concatenate([[0], np.flatnonzero(np.diff(item)) + 1, [len(item)]])
+        ahead = np.concatenate([[0], np.cumsum(counts[key])])[bounds]
+        at = 0
+        while at < len(bounds) - 1:
+            to = max(at + 1, int(np.searchsorted(ahead, ahead[at] + most, side="right")) - 1)
+            some, at = slice(bounds[at], bounds[to]), to
+            c = counts[key[some]]
+            whose = np.repeat(item[some], c)
+            place = places[np.arange(int(c.sum())) + np.repeat(first[key[some]] - (np.cumsum(c) - c), c)]
+            order = np.lexsort((place, whose))
+            whose, place = whose[order], place[order]
+            i = np.arange(max(0, len(place) - need + 1))
+            j = i + need - 1
+            close = (whose[i] == whose[j]) & (place[j] - place[i] < size)
+            i, j = i[close], j[close]
+            begin, end = np.maximum(place[j] - size + 1, 0), np.minimum(place[i], len(h) - size)
+            m = np.maximum(end - begin + 1, 0)
+            starts = np.arange(int(m.sum())) + np.repeat(begin - (np.cumsum(m) - m), m)
+            pair = np.unique(starts * len(self.ids) + np.repeat(whose[i], m))
+            yield pair // len(self.ids), pair % len(self.ids)
+
 
 class Benchmark:
     """Some items of the benchmark, ready to search documents."""
@@ -110,23 +165,23 @@ class Benchmark:
 
     def _windows(self, group: Group, h: np.ndarray, anchors: np.ndarray, at: int, k: int, best: dict) -> None:
         size = min(group.size, len(h))
-        starts = np.unique((anchors[:, None] - np.arange(size)[None, :]).ravel())
-        starts = starts[(starts >= 0) & (starts <= len(h) - size)]
-        step = max(1, min(1 << 14, (1 << 22) // len(group.ids)))  # windows by items, four million at a time
-        for i in range(0, len(starts), step):
-            some = starts[i : i + step]
-            low = int(some[0])
-            prints = fingerprints(h[low : int(some[-1]) + size], some - low, size)
-            for w, item in zip(*(v.tolist() for v in group.candidates(prints))):
-                bag, start = group.bags[item], int(some[w])
-                own: dict[int, int] = {}
-                for x in h[start : start + size].tolist():
-                    own[x] = own.get(x, 0) + 1
-                shared = sum(min(n, bag.get(x, 0)) for x, n in own.items())
-                score = shared / (size + group.size - shared)
-                ident = group.ids[item]
-                if score >= self.similarity and (ident not in best or (score, -start - at) > (best[ident][0], -best[ident][1])):
-                    best[ident] = (score, start + at, size + k - 1)
+        for starts, items in group.voted(h, anchors, self.similarity):
+            for i in range(0, len(starts), 1 << 14):
+                some, mine = starts[i : i + (1 << 14)], items[i : i + (1 << 14)]
+                own_starts, window = np.unique(some, return_inverse=True)
+                low = int(own_starts[0])
+                prints = fingerprints(h[low : int(own_starts[-1]) + size], own_starts - low, size)
+                near = group.within(prints, window, mine)
+                for start, item in zip(some[near].tolist(), mine[near].tolist()):
+                    bag = group.bags[item]
+                    own: dict[int, int] = {}
+                    for x in h[start : start + size].tolist():
+                        own[x] = own.get(x, 0) + 1
+                    shared = sum(min(n, bag.get(x, 0)) for x, n in own.items())
+                    score = shared / (size + group.size - shared)
+                    ident = group.ids[item]
+                    if score >= self.similarity and (ident not in best or (score, -start - at) > (best[ident][0], -best[ident][1])):
+                        best[ident] = (score, start + at, size + k - 1)
 
 
 def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[int | None, str]]]:

@@ -106,7 +106,8 @@ def sifted(df: DataFrame, key: str, keys: DataFrame, bits: int = 1 << 26) -> Dat
     """The rows of df whose `key` may stand in `keys`, a table with that column: all that do, and some others.
 
     A Bloom filter of one hash in `bits` bits, 8 MB at most whatever the size of `keys`, so it may be broadcast; an
-    exact join follows, which then shuffles little of df. The more keys there are, the less it holds back.
+    exact inner join is to follow, which then shuffles little of df (a semi-join would be moved ahead of the filter).
+    The more keys there are, the less it holds back.
     """
     page = 1 << 15  # bits of one bitmap
     at = F.pmod(F.xxhash64(F.col(key), F.lit(7)), F.lit(bits))

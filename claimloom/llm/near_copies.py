@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import add_columns, dropped, kept, map_arrow
+from claimloom.llm.common import add_columns, dropped, kept, map_arrow, set_aside, sifted
 from claimloom.llm.simhash import bit_counts, close_pairs, components, shingle_hashes, word_blocks
 
 WIDTH, SIMILARITY, RADIUS, KEYS, BINS = 5, 0.8, 22, 16, 256
@@ -154,7 +154,7 @@ def verified(pairs: DataFrame, distinct: DataFrame, rows: DataFrame, width: int,
     """Those of the pairs (a, b) with the similarity, in a table. Sets are made again of the texts of `rows` (text, hash), for the pairs' nodes alone."""
     pairs = kept(pairs.distinct(), "candidates")
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = distinct.join(named, "node", "left_semi").select("hash")
+    wanted = kept(distinct.select("node", "hash").join(named, "node", "left_semi").select("hash"), "wanted")
 
     def start():
         def made(texts):
@@ -163,11 +163,11 @@ def verified(pairs: DataFrame, distinct: DataFrame, rows: DataFrame, width: int,
 
         return made
 
-    sets = kept(add_columns(rows.join(wanted, "hash", "left_semi").dropDuplicates(["hash"]).select("text"), ["text"], "node long, hashes binary", start).select("node", "hashes").dropDuplicates(["node"]), "hashes")
+    sets = kept(add_columns(sifted(rows, "hash", wanted).join(wanted, "hash").dropDuplicates(["hash"]).select("text"), ["text"], "node long, hashes binary", start).select("node", "hashes").dropDuplicates(["node"]), "hashes")
     sides = [sets.select(F.col("node").alias(s), F.col("hashes").alias(f"set_{s}")) for s in "ab"]
     found = kept(pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "set_a", "set_b").transform(map_arrow, _similar(similarity), "a long, b long"), "similar")
-    dropped(pairs)
-    dropped(sets)
+    for table in (pairs, wanted, sets):
+        dropped(table)
     return found
 
 
@@ -179,29 +179,41 @@ def similar_sets(rows: DataFrame, sketches: DataFrame, width: int, similarity: f
     def near(keyed: DataFrame, nearest: bool) -> DataFrame:
         return keyed.repartition("grp").sortWithinPartitions("grp").transform(map_arrow, _candidates(radius, similarity, nearest), "a long, b long")
 
+    shape = distinct.select("node", "fp", "n", "bins")
+
     # Each key's rows in tiles that are compared within themselves; tiles differ from key to key, so that groups join over them.
-    few = distinct.select("node", "fp", "n", "bins", F.explode(F.slice("keys", 1, FIRST)).alias("key"))
+    # Nodes and keys alone find what is to be compared; fingerprints and bins then come by node, for those alone.
+    few = distinct.select("node", F.explode(F.slice("keys", 1, FIRST)).alias("key"))
     sizes = kept(few.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1"), "sizes")
-    tiled = few.join(sizes, "key").select(F.xxhash64("key", F.pmod(F.xxhash64("node", "key"), cut)).alias("grp"), "node", "fp", "n", "bins", F.col("node").alias("comp"), F.lit(-1).alias("side"), F.array().cast("array<bigint>").alias("before"))
+    tiled = few.join(sizes, "key").select(F.xxhash64("key", F.pmod(F.xxhash64("node", "key"), cut)).alias("grp"), "node")
+    tiled = tiled.join(shape, "node").select("grp", "node", "fp", "n", "bins", F.col("node").alias("comp"), F.lit(-1).alias("side"), F.array().cast("array<bigint>").alias("before"))
     joined = verified(near(tiled, True), distinct, rows, width, similarity)
+    dropped(sizes)
     group = components(joined).withColumnRenamed("node", "linked")
     # What is still apart: keys that more than one group has, all tiles against all.
-    named = kept(distinct.join(group, F.col("node") == F.col("linked"), "left").select("node", "fp", "n", "bins", "keys", F.coalesce("root", "node").alias("comp")), "joined")
-    keyed = named.select("node", "fp", "n", "bins", "comp", "keys", F.posexplode("keys").alias("at", "key")).withColumn("before", F.slice("keys", F.lit(1), F.col("at"))).drop("keys", "at")
+    named = kept(distinct.join(group, F.col("node") == F.col("linked"), "left").select("node", "keys", F.coalesce("root", "node").alias("comp")), "joined")
+    keyed = named.select("node", "comp", F.posexplode("keys").alias("at", "key"))
     open_ = kept(keyed.groupBy("key").agg(F.count("*").alias("rows"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key", "rows"), "open")
     tiled = keyed.join(open_, "key").withColumn("cut", cut).withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), F.col("cut")).cast("int"))
-    paired = tiled.select("key", "node", "fp", "n", "bins", "comp", "before", "tile", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("other"))
-    grouped = paired.select(F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")).alias("grp"), "node", "fp", "n", "bins", "comp", F.when(F.col("tile") == F.col("other"), -1).otherwise(F.col("tile")).alias("side"), "before")
-    return joined.unionByName(verified(near(grouped, False), distinct, rows, width, similarity))
+    paired = tiled.select("key", "node", "comp", "at", "tile", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("other"))
+    grouped = paired.select(F.xxhash64("key", F.least("tile", "other"), F.greatest("tile", "other")).alias("grp"), "node", "comp", F.when(F.col("tile") == F.col("other"), -1).otherwise(F.col("tile")).alias("side"), "at")
+    grouped = grouped.join(shape.join(named.select("node", "keys"), "node"), "node").withColumn("before", F.slice("keys", F.lit(1), F.col("at"))).drop("keys", "at")
+    rest = verified(near(grouped, False), distinct, rows, width, similarity)
+    for table in (distinct, named, open_):
+        dropped(table)
+    return joined.unionByName(rest)
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY, radius: int = RADIUS, tile_rows: int = 2048) -> DataFrame:
-    """One row of each group of near copies, columns as they are.
+    """One row of each group of near copies, columns as they are, whatever their names.
 
-    Groups are what links of the similarity or more join. Texts without words (null, empty, blank) are one group.
+    Groups are what links of the similarity or more join. A link between sets of 80 or more shingles can be missed by
+    chance: at most 0.2 ** 16 for want of a common key, and where a fingerprint or a sample of 256 classes is over four
+    standard deviations off; sets of fewer shingles always share a key. Texts without words (null, empty, blank) are one group.
     The row with the smallest id stays, null ids last; of rows of one id the one with the smallest text hash, and
     of rows of one id and text any one. An empty table gives an empty one.
     """
+    df, back = set_aside(df, ["id__", "hash__", "rows", "stays"])
     mark = F.xxhash64(F.col(text_col).cast("string"))
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), mark.alias("hash"))
 
@@ -227,4 +239,4 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", widt
     same = F.col(id_col).cast("long").eqNullSafe(F.col("id__")) & (mark == F.col("hash__"))
     alone = df.join(marked, same, "left_anti")
     repeated = df.join(marked.where("stays"), same, "left_semi").withColumn("hash__", mark).dropDuplicates([id_col, "hash__"]).drop("hash__")
-    return alone.unionByName(repeated)
+    return back(alone.unionByName(repeated))

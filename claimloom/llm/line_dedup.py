@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import add_columns, kept, map_arrow, table
+from claimloom.llm.common import add_columns, dropped, kept, map_arrow, set_aside, sifted, table
 from claimloom.llm.simhash import components, forest
 
 EDITS, LEAST_CHARS = 2, 20
@@ -278,8 +278,9 @@ def line_links(docs: DataFrame, text_col: str = "text", edits: int = EDITS, leas
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
     rows = texts.transform(map_arrow, sign, "sig long, line long")
     met = kept(rows.repartition("sig").sortWithinPartitions("sig", "line").transform(map_arrow, _met, "sig long, line long, own boolean"), "met")
-    wanted = met.select("line").distinct()
-    spelled = kept(texts.transform(map_arrow, spell, "line long, text string").join(wanted, "line", "left_semi").dropDuplicates(["line"]), "spelled")
+    wanted = kept(met.select("line").distinct(), "wanted")
+    spelled = kept(sifted(texts.transform(map_arrow, spell, "line long, text string"), "line", wanted).join(wanted, "line").dropDuplicates(["line"]), "spelled")
+    dropped(wanted)
     sized = met.join(spelled.select("line", F.length("text").alias("length")), "line")
     # A table, so that the join below has nothing but two exchanges under it and a heavy signature can be split.
     sizes = kept(sized.groupBy("sig").agg(F.count("*").alias("n"), F.max("length").alias("longest"), F.max("own").alias("any")).where("n > 1 and any").drop("any"), "sizes")
@@ -361,16 +362,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_fresh(docs: DataFrame, share: float = 0.8, short: bool = True, **how) -> DataFrame:
-    """docs with repeated lines taken out, without the documents that are copies by their lines; columns as they are.
+    """docs with repeated lines taken out, without the documents that are copies by their lines; columns as they are, whatever their names.
 
     A document goes if lines with `share` or more of the characters of its lines that aren't blank repeat earlier
     ones. n_chars, if
     there, follows the text.
     """
-    done = dedup_lines(docs, short=short, **how).where((F.col("n_dropped") == 0) | (F.col("share_dropped") < share))
+    moved, back = set_aside(docs, ["n_lines", "n_dropped", "chars_compared", "chars_dropped", "share_dropped", "drop_lines__", "drop_id__"])
+    done = dedup_lines(moved, short=short, **how).where((F.col("n_dropped") == 0) | (F.col("share_dropped") < share))
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return done.select(*docs.columns)
+    return back(done)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

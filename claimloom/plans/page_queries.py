@@ -75,7 +75,11 @@ def mined_matches(s, d):
 
 
 def _woven(s, d):
-    """Every document's and page's whole text with a sentence by template in its middle, and where the sentence begins."""
+    """Every document's and page's whole text with a sentence by template in its middle.
+
+    A full stop parts the sentence from what stands before it, which white space would not: a half that ends with
+    `all` would become part of a count.
+    """
     docs = A.table(s, d, "documents").select(F.concat(F.lit("d"), c("doc_id").cast("string")).alias("row"), c("doc_id").alias("n"), F.coalesce("text", F.lit("")).alias("body"))
     pages = A.table(s, d, "pages").select(F.concat(F.lit("p"), c("page_id").cast("string")).alias("row"), c("page_id").alias("n"), F.coalesce("html", F.lit("")).alias("body"))
     k, v, half = c("n") % 6, F.concat((c("n") % 90 + 10).cast("string"), F.lit(".5")), F.floor(F.length("body") / 2).cast("int")
@@ -86,7 +90,7 @@ def _woven(s, d):
         .when(k == 3, F.lit("Party A and The Northern Capital Partners submitted a proposal; B&C remained active with Northern Capital Partners."))
         .otherwise("nothing.")
     )
-    return docs.unionByName(pages).select("row", F.concat(F.substring("body", F.lit(1), half), F.lit("\n"), sentence, F.lit("\n"), F.substring(c("body"), half + 1, F.length("body"))).alias("text"))
+    return docs.unionByName(pages).select("row", F.concat(F.substring("body", F.lit(1), half), F.lit("."), sentence, F.lit("\n"), F.substring(c("body"), half + 1, F.length("body"))).alias("text"))
 
 
 def mined_documents(s, d):

@@ -136,6 +136,11 @@ def date_in_quote(day: Column, quote: Column) -> Column:
     return F.coalesce(folded.contains(F.date_format(day, "yyyy-MM-dd")) | spelled, F.lit(False))
 
 
+def fixed(value: Column, digits: Column) -> Column:
+    """A double with so many digits after the point, rounded by its binary value: 0.95 has less than a half, and ties go to even digits. format_string rounds the shortest decimal text instead."""
+    return F.call_function("format_number", value, F.concat(F.lit("0"), F.when(digits > 0, F.rpad(F.lit("."), digits.cast("int") + 1, "0")).otherwise("")))
+
+
 def number_in_quote(value: Column, quote: Column) -> Column:
     """Whether a quote supports a number.
 
@@ -145,8 +150,8 @@ def number_in_quote(value: Column, quote: Column) -> Column:
     bare = lambda x: F.regexp_replace(F.regexp_replace(x, "0+$", ""), "\\.$", "")
     whole = F.when(value == F.floor(value), bare(F.floor(value).cast("string")))
     digits = F.greatest(F.lit(0), 5 - F.floor(F.log10(F.greatest(F.abs(value), F.lit(1e-4)))))
-    six = F.when((F.abs(value) >= 1e-4) & (F.abs(value) < 1e6), bare(F.call_function("format_string", F.concat(F.lit("%."), digits.cast("string"), F.lit("f")), value)))
-    candidates = F.array_compact(F.array(bare(F.format_string("%.1f", value)), bare(F.format_string("%.2f", value)), six, whole))
+    six = F.when((F.abs(value) >= 1e-4) & (F.abs(value) < 1e6), bare(bare(fixed(value, digits))))  # twice: a whole number loses its point before its zeros
+    candidates = F.array_compact(F.array(bare(fixed(value, F.lit(1))), bare(fixed(value, F.lit(2))), six, whole))
     decimals = F.transform(F.regexp_extract_all(quote, F.lit("[0-9]+(?:\\.[0-9]+)?"), F.lit(0)), bare)
     cut = F.when(value >= 0, F.floor(value)).otherwise(F.ceil(value)).cast("string")
     return F.coalesce((F.arrays_overlap(candidates, decimals) | F.array_contains(numeric_tokens(quote), cut)) & (quote != ""), F.lit(False))

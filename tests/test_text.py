@@ -40,6 +40,12 @@ def test_numbers(spark):
     assert values(spark, [(1.0, None), (None, "1"), (1.0, "")], "v double, q string", X.number_in_quote(F.col("v"), F.col("q"))) == [False] * 3
 
 
+def test_numbers_are_rounded_by_their_binary_value(spark):
+    cases = [(v, q) for v in (0.95, 0.947, 1.05, 0.25, 0.35, 2.675, 0.125, 0.135, 999.9995, 1.0000005, 8.5, -0.95, 123456.5, 1234567.25) for q in ("1", "a guarantee of 100", "0.2", "0.3", "0.4", "2.68", "2.67", "0.12", "0.13", "0.14", "999.999", "1000", "1.00000", "1.1", "1.0", "0.9", "8", "123456", "123457", "1234567.2", "1234567.3")]
+    got = values(spark, cases, "v double, q string", X.number_in_quote(F.col("v"), F.col("q")))
+    assert [c for c, g in zip(cases, got) if g != number_supported(*c)] == []
+
+
 def test_dates(spark):
     day = dt.date(2014, 3, 5)
     cases = [(day, "on 2014-03-05"), (day, "March 5, 2014"), (day, "5 mar of 2014"), (day, "3/05/2014"), (day, "March 2014"), (day, "March 5"), (None, "March 5, 2014"), (day, None)]

@@ -1,6 +1,6 @@
-"""Text mining with match offsets, for which there is no built-in: batches of texts in pandas, patterns in Python.
+"""Text mining with match offsets, for which there is no built-in: batches of texts in Arrow, patterns in Python.
 
-Each function adds an array of (raw_value, normalized_value, start, end), half-open code point offsets, in the order
+Each function gives a list of (raw_value, normalized_value, start, end), half-open code point offsets, in the order
 of the text.
 """
 
@@ -14,13 +14,16 @@ from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
 from itertools import pairwise
 
-import pandas as pd
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from claimloom.functions.vocabulary import NUMBER_WORDS
 
+FIELDS = "raw_value string, normalized_value string, start int, end int"
 FOUND = "array<struct<raw_value: string, normalized_value: string, start: int, end: int>>"
+BATCH = 5000
 Match = tuple[str, str, int, int]
 
 # The patterns of amounts, participation counts, dated events and actors.
@@ -37,6 +40,7 @@ COUNT_PATTERNS = [
     rf"\bcontacted\b[^.]*?\b(?P<count>{NUMBER})\s+(?:parties|potential participants|potential buyers)\b",
     rf"\b(?P<count>{NUMBER})\s+(?:potentially interested\s+)?(?:potential\s+)?(?:financial buyers|financial participants|financial bidders|financial sponsors|strategic parties|strategic buyers|strategic bidders|strategic acquirers|potential participants|potential bidders|parties|bidders)\b",
 ]
+COUNTED = ("parties", "bidders", "buyers", "participants", "sponsors", "acquirers")  # each of the patterns holds one of them
 DATED = r"\bOn ([A-Z][a-z]+ \d{1,2}, \d{4}),"
 ABBREVIATIONS = ("J.P.", "U.S.", "Mr.", "Ms.", "Dr.", "Inc.", "Co.", "Ltd.", "L.P.", "L.L.C.", "LLC.")
 HANDLE = r"\b(?:Party [A-Z]|Bidder \d+|Buyer Group|Industry Participant|Sponsor [A-Z]|Company [A-Z]|Merger Sub|Parent)\b"
@@ -69,6 +73,8 @@ def claimed(text: str, *patterns: str, flags: int = 0) -> list[re.Match]:
 
 def bids(text: str) -> list[Match]:
     """Ranges of amounts a share, and single amounts outside of them; values as floats."""
+    if "per share" not in text:
+        return []
     return [(m.group(), "-".join(str(float(v)) for v in m.groups()), *m.span()) for m in claimed(text, AMOUNT_RANGE, AMOUNT_SINGLE)]
 
 
@@ -84,12 +90,15 @@ def number(word: str) -> str:
 
 def counts(text: str) -> list[Match]:
     """Numbers of participants: patterns in the order of their priority, each where no earlier one matched."""
+    folded = text.lower() if text.isascii() else text.translate(FOLDED)
+    if not any(w in folded for w in COUNTED):
+        return []
     return [(m.group(), number(m["count"]), *m.span()) for m in claimed(text, *COUNT_PATTERNS, flags=re.IGNORECASE)]
 
 
 def dated_events(text: str) -> list[Match]:
     """Sentences that begin with a date, cut where the next one begins. A date that no calendar has is left out."""
-    return dated(text, re.finditer(DATED, text))
+    return dated(text, re.finditer(DATED, text)) if "On " in text else []
 
 
 def dated(text: str, dates: Iterable[re.Match]) -> list[Match]:
@@ -127,12 +136,34 @@ def acting(handles: Iterable[re.Match], names: Iterable[re.Match], near: list[tu
     return [(label, label, *span) for label, span in labels.items()]
 
 
-def mined(function: Callable[[str], list[Match]], text: Column) -> Column:
-    """A column of the matches of one of the functions above; null texts have none."""
-
-    @F.pandas_udf(FOUND)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series([[dict(zip(("raw_value", "normalized_value", "start", "end"), m)) for m in function(t)] if t else [] for t in texts])
-
-    return run(text)
+def mined(functions: dict[str, Callable[[str], list[Match]]], rows: DataFrame, text: str = "text") -> DataFrame:
+    """rows without their text, one for each match of any of the functions above, with its kind and fields; null texts have none.
+
+    One pass in Arrow for all functions: each would have a worker process of its own if it were a column. A match is written as it is
+    found, and a batch goes out once it holds BATCH of them, so memory grows neither with the table nor with the number of functions.
+    """
+    kept = [f for f in rows.schema if f.name != text]
+    schema = T.StructType([*kept, T.StructField("kind", T.StringType()), *T.StructType.fromDDL(FIELDS)])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, found, at = batch.drop_columns([text]), [], []
+
+            def made() -> pa.RecordBatch:
+                matches = [pa.array(v, f.type) for v, f in zip(zip(*found), list(arrow)[len(kept) :])]
+                return pa.RecordBatch.from_arrays([*own.take(pa.array(at)).columns, *matches], schema=arrow)  # noqa: B023
+
+            for i, t in enumerate(batch.column(text)):
+                t = t.as_py()
+                for kind, function in functions.items() if t else ():
+                    for m in function(t):
+                        found.append((kind, *m))
+                        at.append(i)
+                if len(found) >= BATCH:
+                    yield made()
+                    found, at = [], []
+            if found:
+                yield made()
+
+    return rows.mapInArrow(run, schema)

@@ -68,10 +68,7 @@ def _mined_text():
 def mined_matches(s, d):
     """Bids, counts, dated events and actors in texts by template."""
     rows = A.table(s, d, "events").select("event_id", _mined_text().alias("text"))
-    kinds = {"bid": M.bids, "count": M.counts, "event": M.dated_events, "actor": M.actors}
-    tagged = lambda k, f: F.transform(M.mined(f, c("text")), lambda m: F.struct(F.lit(k).alias("kind"), m.alias("m")))
-    cols = [tagged(k, f) for k, f in kinds.items()]
-    return rows.select("event_id", F.explode(F.concat(*cols)).alias("x")).select("event_id", "x.kind", "x.m.raw_value", "x.m.normalized_value", "x.m.start", "x.m.end")
+    return M.mined({"bid": M.bids, "count": M.counts, "event": M.dated_events, "actor": M.actors}, rows)
 
 
 def _woven(s, d):

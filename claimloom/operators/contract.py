@@ -84,41 +84,42 @@ def payload_faults(payloads: DataFrame, ident: str = "request_id", json_col: str
     array`, and of items `not an object`, `unknown NAME`, `missing NAME`, `bad NAME` (the wrong type, a value that is
     not of its list, a date that no calendar has, a number that can't be read, a count below zero, a null where none
     may be). A null payload is malformed, and an absent array is an empty one. Native expressions: payloads are
-    exploded into items and these into fields, each looked at once; nothing is shuffled.
+    exploded into arrays, these into items and these into fields, in one pass; nothing is shuffled.
     """
-    text, none = F.col(json_col), F.lit(None).cast("string")
-    part = lambda name, pos, item, fault: F.struct(name.alias("claim_array"), pos.cast("int").alias("pos"), item.alias("item"), fault.alias("fault"))
-    raw = F.from_json(text, "map<string,string>")
-    # An object without keys has no fault; the outer explode below gives a row to what is no object.
-    top = payloads.where(F.coalesce(F.size(keys_of(text)), F.lit(-1)) != 0).select(ident, F.when(keys_of(text).isNotNull(), raw).alias("arrays"))
-    top = top.select(ident, F.explode_outer("arrays").alias("claim_array", "items"))
-    what = F.when(F.col("claim_array").isNull(), "malformed").when(~F.col("claim_array").isin(list(FIELDS)), F.concat(F.lit("unknown "), "claim_array")).when(~F.coalesce(F.col("items").startswith("["), F.lit(False)), "not an array")
-    name = F.when(F.col("claim_array").isin(list(FIELDS)), F.col("claim_array"))
-    whole = F.array(part(name, F.lit(None), none, F.col("what")))
-    each = F.transform(F.from_json("items", "array<string>"), lambda x, i: part(F.col("claim_array"), i, x, F.lit(None).cast("string")))
-    rows = top.withColumn("what", what).select(ident, F.explode(F.when(F.col("what").isNotNull(), whole).otherwise(each)).alias("x")).select(ident, "x.*")
-    keys = F.json_object_keys("item")
+    text, c = F.col(json_col), F.col
+    known = list(FIELDS)
+    none = F.lit(None).cast("string")
+    # Each step ends in an explode: what is computed ahead of it is a column behind it, where projections alone would be merged and compute it again at each use.
+    entry = lambda name, items, what: F.struct(name.alias("claim_array"), items.alias("items"), what.alias("what"))
+    what_of = lambda name, items: F.when(~name.isin(known), F.concat(F.lit("unknown "), name)).when(~F.coalesce(items.startswith("["), F.lit(False)), "not an array")
+    arrays = F.transform(F.map_entries(F.from_json(text, "map<string,string>")), lambda e: entry(e["key"], e["value"], what_of(e["key"], e["value"])))
+    top = payloads.select(ident, F.explode(F.when(keys_of(text).isNull(), F.array(entry(none, none, F.lit("malformed")))).otherwise(arrays)).alias("x")).select(ident, "x.*")
+    part = lambda name, pos, item, fault: F.struct(name.alias("claim_array"), pos.cast("int").alias("pos"), item.alias("item"), fault.alias("fault"), F.json_object_keys(item).alias("keys"))
+    whole = F.array(part(F.when(c("claim_array").isin(known), c("claim_array")), F.lit(None), none, c("what")))
+    each = F.transform(F.from_json("items", "array<string>"), lambda x, i: part(c("claim_array"), i, x, none))
+    rows = top.select(ident, F.explode(F.when(c("what").isNotNull(), whole).otherwise(each)).alias("x")).select(ident, "x.*")
     due = F.create_map(*(x for n, fields in FIELDS.items() for x in (F.lit(n), F.array(*(F.lit(k) for k, f in fields.items() if not f.absent)))))
-    lost = F.transform(F.array_except(F.element_at(due, F.col("claim_array")), keys), lambda k: F.concat(F.lit("missing "), k))
-    shape = F.when(F.col("fault").isNotNull(), F.array("fault")).when(keys.isNull(), F.array(F.lit("not an object"))).otherwise(lost)
-    outer = rows.select(ident, "claim_array", "pos", F.explode(shape).alias("fault"))
-    fields = rows.where(F.col("fault").isNull() & keys.isNotNull()).select(ident, "claim_array", "pos", F.explode(F.from_json("item", "map<string,variant>")).alias("field", "value"))
-    fields = fields.withColumn("text", F.try_variant_get("value", "$", "string")).withColumn("type", F.schema_of_variant("value")).withColumn("key", F.concat_ws(".", "claim_array", "field"))
-    kind = F.element_at(_of_field(lambda f: F.lit("list" if isinstance(f.kind, list) else f.kind)), F.col("key"))
-    values = F.element_at(_of_field(lambda f: F.array(*map(F.lit, f.kind if isinstance(f.kind, list) else [""]))), F.col("key"))
-    fields = fields.withColumns({"kind": kind, "values": values, "null": F.element_at(_of_field(lambda f: F.lit(f.null)), F.col("key"))})
-    is_text, spelled = F.col("type") == "STRING", F.when(F.col("type") != "BOOLEAN", F.col("text"))
+    rule = _of_field(lambda f: F.struct(F.lit("list" if isinstance(f.kind, list) else f.kind).alias("kind"), F.array(*map(F.lit, f.kind if isinstance(f.kind, list) else [""])).alias("values"), F.lit(f.null).alias("null")))
+    told = F.when(c("fault").isNotNull(), F.array("fault")).when(c("keys").isNull(), F.array(F.lit("not an object"))).otherwise(F.transform(F.array_except(F.element_at(due, c("claim_array")), c("keys")), lambda k: F.concat(F.lit("missing "), k)))
+    values = F.map_entries(F.from_json("item", "map<string,variant>"))
+    fields = F.transform(values, lambda e: F.struct(none.alias("told"), e["key"].alias("field"), F.try_variant_get(e["value"], "$", "string").alias("text"), F.schema_of_variant(e["value"]).alias("type"), F.try_element_at(rule, F.concat_ws(".", "claim_array", e["key"])).alias("rule")))
+    kind = "struct<told:string,field:string,text:string,type:string,rule:struct<kind:string,values:array<string>,null:boolean>>"
+    blank = F.lit(None).cast("struct<kind:string,values:array<string>,null:boolean>")
+    told = F.transform(told, lambda f: F.struct(f.alias("told"), none.alias("field"), none.alias("text"), none.alias("type"), blank.alias("rule"))).cast(f"array<{kind}>")
+    some = F.when(c("fault").isNull() & c("keys").isNotNull(), F.coalesce(fields.cast(f"array<{kind}>"), F.array().cast(f"array<{kind}>"))).otherwise(F.array().cast(f"array<{kind}>"))
+    looked = rows.select(ident, "claim_array", "pos", F.explode(F.concat(told, some)).alias("x")).select(ident, "claim_array", "pos", "x.told", "x.field", "x.text", "x.type", "x.rule")
+    is_text, spelled = c("type") == "STRING", F.when(c("type") != "BOOLEAN", c("text"))
     good = (
-        F.when(F.col("type") == "VOID", F.col("null"))
-        .when(F.col("kind") == "list", is_text & F.array_contains("values", F.col("text")))
-        .when(F.col("kind") == "date", is_text & F.col("text").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & F.try_to_timestamp("text", F.lit("yyyy-MM-dd")).isNotNull())
-        .when(F.col("kind") == "number", number_value(spelled).isNotNull())
-        .when(F.col("kind") == "count", count_value(spelled).isNotNull())
-        .when(F.col("kind") == "name", is_text & (F.col("text") != ""))
+        F.when(c("type") == "VOID", c("rule.null"))
+        .when(c("rule.kind") == "list", is_text & F.array_contains("rule.values", c("text")))
+        .when(c("rule.kind") == "date", is_text & c("text").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & F.try_to_timestamp("text", F.lit("yyyy-MM-dd")).isNotNull())
+        .when(c("rule.kind") == "number", number_value(spelled).isNotNull())
+        .when(c("rule.kind") == "count", count_value(spelled).isNotNull())
+        .when(c("rule.kind") == "name", is_text & (c("text") != ""))
         .otherwise(is_text)
     )
-    fault = F.when(F.col("kind").isNull(), F.concat(F.lit("unknown "), "field")).when(~F.coalesce(good, F.lit(False)), F.concat(F.lit("bad "), "field"))
-    return outer.unionByName(fields.select(ident, "claim_array", "pos", fault.alias("fault")).where("fault is not null"))
+    fault = F.when(c("told").isNotNull(), c("told")).when(c("rule").isNull(), F.concat(F.lit("unknown "), "field")).when(~F.coalesce(good, F.lit(False)), F.concat(F.lit("bad "), "field"))
+    return looked.select(ident, "claim_array", "pos", F.explode(F.array_compact(F.array(fault))).alias("fault"))
 
 
 # What bids and relations may be where their obligations ask for one thing alone.

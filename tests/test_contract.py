@@ -56,3 +56,9 @@ def test_one_object_and_nothing_else(spark):
     faulty = {r["request_id"] for r in K.payload_faults(df).where("fault = 'malformed'").collect()}
     bad = {r["request_id"] for r in C.parse_payloads(df).where("parse_error = 'malformed'").collect()}
     assert faulty == bad == {i for i, ok in enumerate(texts.values()) if not ok}
+
+
+def test_payloads_are_read_in_one_pass(spark, capsys):
+    df = spark.createDataFrame([(1, "{}")], "request_id long, payload string")
+    K.payload_faults(df).explain()
+    assert len(re.findall(r"(?m)^\W*Scan ", re.sub(r"\* ?|\(\d+\) ", "", capsys.readouterr().out))) == 1

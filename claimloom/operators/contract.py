@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.functions import vocabulary as V
@@ -54,27 +54,33 @@ def number_value(text: Column) -> Column:
     return F.when(text.rlike(NUMBER) & (F.abs(value) < float("inf")), value)
 
 
-def count_value(text: Column) -> Column:
-    """The long that a count's text stands for: whole, in any spelling of a number, and not below zero; else null."""
+def count_value(text: Column, number: Column | None = None) -> Column:
+    """The long that a count's text stands for: whole, in any spelling of a number, and not below zero; else null. `number` may give the text's number_value, if it is at hand."""
     digits = F.when(text.rlike(WHOLE), F.regexp_replace(text, r"^\s*\+?|\s+$", "").try_cast("bigint"))
-    number = number_value(text)
+    number = number_value(text) if number is None else number
     return F.coalesce(digits, F.when((number >= 0) & (number == F.floor(number)) & (number < 2.0**53), number.cast("bigint")))
 
 
-def keys_of(text: Column) -> Column:
-    """The keys of a text that is one JSON object and nothing else; null for any other.
+def is_object(text: Column) -> Column:
+    """Whether a text is one JSON object and nothing else.
 
-    The object is read as the first value of a larger one whose last key is the text's hash: only if the text ends where
-    its object ends does the larger one have just these two keys.
+    The text is counted as the first item of two arrays, of two and of three: had the array ended within the text, both
+    would have the same number. No key is made up for this, as a parser keeps every key that it meets.
     """
-    mark = F.sha2(text, 256)
-    outer = F.json_object_keys(F.concat(F.lit('{"x":'), text, F.lit(',"'), mark, F.lit('":1}')))
-    return F.when(outer == F.array(F.lit("x"), mark), F.json_object_keys(text))
+    length = lambda tail: F.json_array_length(F.concat(F.lit("["), text, F.lit(tail)))
+    return F.coalesce(text.rlike(r"^[ \t\n\r]*\{") & (length(",0]") == 2) & (length(",0,0]") == 3), F.lit(False))
+
+
+def keys_of(text: Column) -> Column:
+    """The keys of a text that is one JSON object and nothing else; null for any other."""
+    return F.when(is_object(text), F.json_object_keys(text))
 
 
-def _of_field(value) -> Column:
-    """A map literal from `array.field` to what `value` makes of its Field."""
-    return F.create_map(*(x for name, fields in FIELDS.items() for n, f in fields.items() for x in (F.lit(f"{name}.{n}"), value(f))))
+def _rules(spark: SparkSession) -> DataFrame:
+    """(claim_array, field, kind, listed, nullable) of each of FIELDS; listed is null where any value of the kind is good."""
+    listed = lambda f: F.array(*map(F.lit, f.kind)) if isinstance(f.kind, list) else F.lit(None).cast("array<string>")
+    rows = [F.struct(F.lit(name).alias("claim_array"), F.lit(n).alias("field"), F.lit("list" if isinstance(f.kind, list) else f.kind).alias("kind"), listed(f).alias("listed"), F.lit(f.null).alias("nullable")) for name, fields in FIELDS.items() for n, f in fields.items()]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
 
 
 def payload_faults(payloads: DataFrame, ident: str = "request_id", json_col: str = "payload") -> DataFrame:
@@ -88,38 +94,36 @@ def payload_faults(payloads: DataFrame, ident: str = "request_id", json_col: str
     """
     text, c = F.col(json_col), F.col
     known = list(FIELDS)
-    none = F.lit(None).cast("string")
-    # Each step ends in an explode: what is computed ahead of it is a column behind it, where projections alone would be merged and compute it again at each use.
-    entry = lambda name, items, what: F.struct(name.alias("claim_array"), items.alias("items"), what.alias("what"))
-    what_of = lambda name, items: F.when(~name.isin(known), F.concat(F.lit("unknown "), name)).when(~F.coalesce(items.startswith("["), F.lit(False)), "not an array")
-    arrays = F.transform(F.map_entries(F.from_json(text, "map<string,string>")), lambda e: entry(e["key"], e["value"], what_of(e["key"], e["value"])))
-    top = payloads.select(ident, F.explode(F.when(keys_of(text).isNull(), F.array(entry(none, none, F.lit("malformed")))).otherwise(arrays)).alias("x")).select(ident, "x.*")
-    part = lambda name, pos, item, fault: F.struct(name.alias("claim_array"), pos.cast("int").alias("pos"), item.alias("item"), fault.alias("fault"), F.json_object_keys(item).alias("keys"))
-    whole = F.array(part(F.when(c("claim_array").isin(known), c("claim_array")), F.lit(None), none, c("what")))
-    each = F.transform(F.from_json("items", "array<string>"), lambda x, i: part(c("claim_array"), i, x, none))
-    rows = top.select(ident, F.explode(F.when(c("what").isNotNull(), whole).otherwise(each)).alias("x")).select(ident, "x.*")
+    # What an explode takes apart is made by the projection ahead of it, which is compiled, as the explode itself is not. What is
+    # found wrong on the way is carried along as `told`, and an outer explode keeps the row that carries it.
+    made = payloads.select(ident, is_object(text).alias("whole"), text.alias("text")).select(ident, F.when(~c("whole"), F.array(F.lit("malformed"))).alias("told"), F.when(c("whole"), F.from_json("text", "map<string,string>")).alias("x"))
+    top = made.select(ident, "told", F.explode_outer("x").alias("name", "items")).where("told is not null or name is not null")
+    what = F.when(~c("name").isin(known), F.concat(F.lit("unknown "), "name")).when(~F.coalesce(c("items").startswith("["), F.lit(False)), "not an array")
+    told = F.coalesce("told", F.when(what.isNotNull(), F.array(what)))
+    arrays = top.select(ident, F.when(c("name").isin(known), c("name")).alias("claim_array"), told.alias("told"), F.when(told.isNull(), F.from_json("items", "array<string>")).alias("x"))
+    items = arrays.select(ident, "claim_array", "told", F.posexplode_outer("x").alias("pos", "item")).where("told is not null or pos is not null")
     due = F.create_map(*(x for n, fields in FIELDS.items() for x in (F.lit(n), F.array(*(F.lit(k) for k, f in fields.items() if not f.absent)))))
-    rule = _of_field(lambda f: F.struct(F.lit("list" if isinstance(f.kind, list) else f.kind).alias("kind"), F.array(*map(F.lit, f.kind if isinstance(f.kind, list) else [""])).alias("values"), F.lit(f.null).alias("null")))
-    told = F.when(c("fault").isNotNull(), F.array("fault")).when(c("keys").isNull(), F.array(F.lit("not an object"))).otherwise(F.transform(F.array_except(F.element_at(due, c("claim_array")), c("keys")), lambda k: F.concat(F.lit("missing "), k)))
-    values = F.map_entries(F.from_json("item", "map<string,variant>"))
-    fields = F.transform(values, lambda e: F.struct(none.alias("told"), e["key"].alias("field"), F.try_variant_get(e["value"], "$", "string").alias("text"), F.schema_of_variant(e["value"]).alias("type"), F.try_element_at(rule, F.concat_ws(".", "claim_array", e["key"])).alias("rule")))
-    kind = "struct<told:string,field:string,text:string,type:string,rule:struct<kind:string,values:array<string>,null:boolean>>"
-    blank = F.lit(None).cast("struct<kind:string,values:array<string>,null:boolean>")
-    told = F.transform(told, lambda f: F.struct(f.alias("told"), none.alias("field"), none.alias("text"), none.alias("type"), blank.alias("rule"))).cast(f"array<{kind}>")
-    some = F.when(c("fault").isNull() & c("keys").isNotNull(), F.coalesce(fields.cast(f"array<{kind}>"), F.array().cast(f"array<{kind}>"))).otherwise(F.array().cast(f"array<{kind}>"))
-    looked = rows.select(ident, "claim_array", "pos", F.explode(F.concat(told, some)).alias("x")).select(ident, "claim_array", "pos", "x.told", "x.field", "x.text", "x.type", "x.rule")
-    is_text, spelled = c("type") == "STRING", F.when(c("type") != "BOOLEAN", c("text"))
+    keyed = items.select(ident, "claim_array", "pos", "told", F.json_object_keys("item").alias("keys"), F.from_json("item", "map<string,variant>").alias("x"))
+    lacking = F.transform(F.array_except(F.element_at(due, c("claim_array")), c("keys")), lambda k: F.concat(F.lit("missing "), k))
+    told = F.when(c("told").isNotNull(), c("told")).when(c("keys").isNull(), F.array(F.lit("not an object"))).otherwise(lacking)
+    fields = keyed.select(ident, "claim_array", "pos", told.alias("told"), F.when(c("keys").isNotNull(), c("x")).alias("x")).select(ident, "claim_array", "pos", "told", F.posexplode_outer("x").alias("at", "field", "value"))
+    first = F.when((F.coalesce("at", F.lit(0)) == 0) & (F.size("told") > 0), c("told"))  # what an item lacks as a whole is told once
+    typed = fields.select(ident, "claim_array", "pos", first.alias("told"), "field", F.try_variant_get("value", "$", "string").alias("text"), F.schema_of_variant("value").alias("type"))
+    typed = typed.withColumn("number", number_value(c("text")))  # once a field and ahead of the join: what the filter behind it computes again must stay small, or the JVM doesn't compile it
+    looked = typed.join(F.broadcast(_rules(payloads.sparkSession)), ["claim_array", "field"], "left")
+    is_text = c("type") == "STRING"
     good = (
-        F.when(c("type") == "VOID", c("rule.null"))
-        .when(c("rule.kind") == "list", is_text & F.array_contains("rule.values", c("text")))
-        .when(c("rule.kind") == "date", is_text & c("text").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & F.try_to_timestamp("text", F.lit("yyyy-MM-dd")).isNotNull())
-        .when(c("rule.kind") == "number", number_value(spelled).isNotNull())
-        .when(c("rule.kind") == "count", count_value(spelled).isNotNull())
-        .when(c("rule.kind") == "name", is_text & (c("text") != ""))
+        F.when(c("type") == "VOID", c("nullable"))
+        .when(c("kind") == "list", is_text & F.array_contains("listed", c("text")))
+        .when(c("kind") == "date", is_text & c("text").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$") & F.try_to_timestamp("text", F.lit("yyyy-MM-dd")).isNotNull())
+        .when(c("kind") == "number", c("number").isNotNull())
+        .when(c("kind") == "count", count_value(c("text"), c("number")).isNotNull())
+        .when(c("kind") == "name", is_text & (c("text") != ""))
         .otherwise(is_text)
     )
-    fault = F.when(c("told").isNotNull(), c("told")).when(c("rule").isNull(), F.concat(F.lit("unknown "), "field")).when(~F.coalesce(good, F.lit(False)), F.concat(F.lit("bad "), "field"))
-    return looked.select(ident, "claim_array", "pos", F.explode(F.array_compact(F.array(fault))).alias("fault"))
+    fault = F.when(c("kind").isNull(), F.concat(F.lit("unknown "), "field")).when(~F.coalesce(good, F.lit(False)), F.concat(F.lit("bad "), "field"))
+    found = looked.select(ident, "claim_array", "pos", "told", fault.alias("fault")).where("told is not null or fault is not null")
+    return found.select(ident, "claim_array", "pos", F.explode(F.concat(F.coalesce("told", F.array().cast("array<string>")), F.array_compact(F.array("fault")))).alias("fault"))
 
 
 # What bids and relations may be where their obligations ask for one thing alone.

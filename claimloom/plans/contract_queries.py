@@ -52,16 +52,21 @@ CASES: list[tuple[str, list[tuple[str | None, int | None, str]]]] = [
 ]
 
 
+def _dealt(s, d, *columns):
+    """The events dealt by their ids: payloads cost much more to read than to deal, and a file may have as few parts as one. What is grouped or joined by event_id behind this is in place."""
+    return A.table(s, d, "events").select("event_id", *columns).repartition(int(s.conf.get("spark.sql.shuffle.partitions")), "event_id")
+
+
 def payload_contract(s, d):
     """The faults of one payload for each event, dealt out from the cases."""
     cases = s.createDataFrame([(k, text) for k, (text, _) in enumerate(CASES)], "k long, payload string")
-    rows = A.table(s, d, "events").select("event_id", (F.col("event_id") % len(CASES)).alias("k"))
+    rows = _dealt(s, d).select("event_id", (F.col("event_id") % len(CASES)).alias("k"))
     return K.payload_faults(rows.join(F.broadcast(cases), "k"), "event_id")
 
 
 def payload_values(s, d):
     """Each event as a payload of one bid or count, its numbers spelled in six ways, one of them no number: its fault, or the values that arrive."""
-    e = A.table(s, d, "events").select("event_id", F.round("value", 2).alias("v"), (F.col("event_id") % 6).alias("k"), (F.col("event_id") % 4 == 0).alias("counts"))
+    e = _dealt(s, d, "value").select("event_id", F.round("value", 2).alias("v"), (F.col("event_id") % 6).alias("k"), (F.col("event_id") % 4 == 0).alias("counts"))
     v, n = F.col("v").cast("string"), (F.col("event_id") * 5_000_000).cast("string")
     quoted = lambda x: F.concat(F.lit('"'), x, F.lit('"'))
     spelled = lambda x, whole: F.when(F.col("k") == 0, x).when(F.col("k") == 1, quoted(x)).when(F.col("k") == 2, F.concat(x, F.lit("e0"))).when(F.col("k") == 3, quoted(F.concat(F.lit(" +"), x, F.lit("e+0 ")))).when(F.col("k") == 4, F.concat(x, F.lit("" if not whole else ".0"))).otherwise(quoted(F.concat(x, F.lit("d"))))

@@ -62,3 +62,20 @@ def test_payloads_are_read_in_one_pass(spark, capsys):
     df = spark.createDataFrame([(1, "{}")], "request_id long, payload string")
     K.payload_faults(df).explain()
     assert len(re.findall(r"(?m)^\W*Scan ", re.sub(r"\* ?|\(\d+\) ", "", capsys.readouterr().out))) == 1
+
+
+def test_payloads_are_dealt_before_they_are_read(spark):
+    """One file of one part must not be read by one task, and what is grouped and joined by event is not dealt again; the check of fields is small enough for the JVM to compile."""
+    from claimloom.plans.contract_queries import payload_values
+
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # its first plan is not compiled
+    try:
+        plan = payload_values(spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+        shown, compiled = (plan.explainString(mode.fromString(m)) for m in ("simple", "codegen"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    dealt = re.findall(r"(?<!Broadcast)Exchange (\w+)\((\w+?)#\d+L?, \d+\), (\w+)", shown)
+    assert set(dealt) == {("hashpartitioning", "event_id", "REPARTITION_BY_NUM")}
+    assert "Filter (isnotnull(told" in compiled
+    assert all(int(size) < 8000 for size in re.findall(r"maxMethodCodeSize:(\d+)", compiled))

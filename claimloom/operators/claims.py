@@ -14,6 +14,7 @@ from claimloom.functions import text as X
 from claimloom.functions import vocabulary as V
 from claimloom.functions.ids import numbered
 from claimloom.operators.contract import count_value, keys_of, number_value
+from claimloom.sources.shared import stored
 
 _COMMON = "claim_type string, coverage_obligation_id string, confidence string, quote_text string"
 #: One array of structs for each claim type, in the order in which claims are taken.
@@ -62,23 +63,36 @@ def word_pairs(words: Column) -> Column:
     return F.array_distinct(F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.xxhash64(a, b)))
 
 
-def quote_anchors(claims: DataFrame, paragraphs: DataFrame, window: str = "window_id") -> DataFrame:
-    """(window, claim_key, pair): the rarest pair of words of each quote that has any and may stand in its window.
-
-    A quote's first and last word may be cut from longer ones, so only the words between them count. How rare a pair
-    is follows from one count over the window's paragraphs, of pairs that some quote has; a quote with a pair that
-    no paragraph has is left out, as it can't stand there.
-    """
+def asked_pairs(claims: DataFrame, window: str = "window_id") -> DataFrame:
+    """(window, claim_key, pair) of each quote; its first and last word may be cut from longer ones, so only the words between them count."""
     words = F.split("quote_text", " ")
     inner = F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
-    asked = claims.select(window, "claim_key", F.explode(word_pairs(inner)).alias("pair"))
-    held = paragraphs.select(window, F.explode(word_pairs(F.split("paragraph_text", " "))).alias("pair"))
-    counts = held.join(asked.select(window, "pair").distinct(), [window, "pair"], "left_semi").groupBy(window, "pair").agg(F.count("*").alias("n"))
+    return claims.select(window, "claim_key", F.explode(word_pairs(inner)).alias("pair"))
+
+
+def held_pairs(paragraphs: DataFrame, pairs: DataFrame, *keep: str) -> DataFrame:
+    """(*keep, pair) of each paragraph, of those pairs that stand in `pairs`: whichever quote has them, in this window or another."""
+    held = paragraphs.select(*keep, F.explode(word_pairs(F.split("paragraph_text", " "))).alias("pair"))
+    return held.join(pairs, "pair", "left_semi")
+
+
+def _rarest(asked: DataFrame, held: DataFrame, window: str) -> DataFrame:
+    counts = held.groupBy(window, "pair").agg(F.count("*").alias("n"))
     rarity = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "pair")
     rarest = asked.join(counts, [window, "pair"], "left").groupBy(window, "claim_key").agg(F.min(rarity).alias("rarest"))
     return rarest.where("rarest.n > 0").select(window, "claim_key", "rarest.pair")
 
 
+def quote_anchors(claims: DataFrame, paragraphs: DataFrame, window: str = "window_id") -> DataFrame:
+    """(window, claim_key, pair): the rarest pair of words of each quote that has any and may stand in its window.
+
+    How rare a pair is follows from one count over the window's paragraphs, of pairs that some quote has; a quote with a
+    pair that no paragraph has is left out, as it can't stand there.
+    """
+    asked = asked_pairs(claims, window)
+    return _rarest(asked, held_pairs(paragraphs, asked.select("pair").distinct(), window), window)
+
+
 def bind_quotes(claims: DataFrame, paragraphs: DataFrame, window: str = "window_id") -> DataFrame:
     """(claim_key, hits, paragraph_id, char_start, char_end): where each claim's quote stands in its window.
 
@@ -86,16 +100,21 @@ def bind_quotes(claims: DataFrame, paragraphs: DataFrame, window: str = "window_
     paragraph_text. A quote binds if it occurs exactly once over the window, overlapping places counted; with 0 or
     2 or more hits the place is null. Null and empty quotes have no hits.
 
-    An inverted index finds where to look: each quote is anchored by its rarest pair of words, and only paragraphs
-    of its window that hold the pair are searched for it. Quotes of fewer than four words have no whole pair; they
-    are looked for in all paragraphs of their window.
+    An inverted index finds where to look: each quote is anchored by its rarest pair of words (see quote_anchors), and
+    only paragraphs of its window that hold the pair are searched for it. Quotes of fewer than four words have no whole
+    pair; they are looked for in all paragraphs of their window.
+
+    The pairs asked for, the index of those, the anchors, the places to look and short quotes are stored one after the other. So texts
+    are taken apart once, and each table's size is known ahead of its join: while it is small it is broadcast, and
+    neither the pairs of all texts nor the texts are shuffled.
     """
     asked = claims.select(window, "claim_key", "quote_text").where("quote_text <> ''")
-    anchors = quote_anchors(asked, paragraphs, window)
-    pairs = paragraphs.select(window, "paragraph_id", F.explode(word_pairs(F.split("paragraph_text", " "))).alias("pair"))
-    may = pairs.join(anchors, [window, "pair"]).select(window, "claim_key", "paragraph_id").distinct()
-    anchored = may.join(asked, [window, "claim_key"]).join(paragraphs, [window, "paragraph_id"])
-    short = asked.where(F.size(F.split("quote_text", " ")) < 4).join(paragraphs.select(window, "paragraph_id", "char_start", "paragraph_text"), window)
+    pairs = asked_pairs(asked, window)
+    held = stored(held_pairs(paragraphs, stored(pairs.select("pair").distinct(), "asked_pairs"), window, "paragraph_id"), "held_pairs")
+    anchors = stored(_rarest(pairs, held, window), "anchors")
+    may = held.join(anchors, [window, "pair"]).select(window, "claim_key", "paragraph_id").distinct()
+    anchored = stored(may.join(asked, [window, "claim_key"]), "places").join(paragraphs, [window, "paragraph_id"])
+    short = stored(asked.where(F.size(F.split("quote_text", " ")) < 4), "short_quotes").join(paragraphs.select(window, "paragraph_id", "char_start", "paragraph_text"), window)
     columns = ["claim_key", "quote_text", "paragraph_id", "char_start", "paragraph_text"]
     looked = anchored.select(*columns).unionByName(short.select(*columns))
     at = F.call_function("instr", F.col("paragraph_text"), F.col("quote_text"))

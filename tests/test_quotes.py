@@ -1,6 +1,7 @@
 """Quote binding against a search of every paragraph for every quote."""
 
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -59,3 +60,8 @@ def test_anchor_is_the_rarest_pair(spark):
 def test_no_pair_of_everything_with_everything(spark):
     plan = bound(spark, [("x", "w", "a b c d e")], [("w", "p", 0, "a b c d e")])._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_few_quotes_shuffle_no_texts(spark):
+    plan = bound(spark, [("x", "w", "a b c d e"), ("y", "w", "b c")], [("w", "p", 0, "a b c d e"), ("w", "q", 0, "b c a b c d e f")])._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"hashpartitioning\((\w+?)#", plan)) == {"claim_key"}

@@ -68,3 +68,8 @@ def test_no_single_task_numbers_all(spark):
     plan = P.shard_plan(slugs, 7)
     assert "SinglePartition" not in plan._jdf.queryExecution().executedPlan().toString()
     assert sorted((r["source_order"], r["deal_slug"], r["shard_id"]) for r in plan.collect()) == [(i + 1, f"s{i:03}", f"shard-{i // 7 + 1:04}") for i in range(50)]
+
+
+def test_proof_sorts_no_facts(spark):
+    plan = P.proof(P.facts(**tables(spark)))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[family" in plan and "SortAggregate" not in plan
